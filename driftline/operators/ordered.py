@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from driftline.functions.temporal import epoch_us
-from driftline.session import is_small
+from driftline.session import is_small, pin, settle
 
 CHUNK = "_chunk"
 SPAN = "_span"
@@ -60,14 +60,16 @@ def assign_chunks(df: DataFrame, series: Series, rows_per_chunk: int = CHUNK_ROW
     """Add the start (epoch microseconds) of each row's chunk.
 
     Every round counts rows per chunk and cuts the ones above ``rows_per_chunk`` into equal spans. The table of
-    such chunks has at most total rows / ``rows_per_chunk`` entries, so its broadcast stays small.
+    such chunks has at most total rows / ``rows_per_chunk`` entries. The input is read several times from here on,
+    so anything but a plain scan is settled first.
     """
+    df = settle(df)
     width = series.chunk_seconds * 1_000_000
     us = epoch_us(series.ts)
     out = df.withColumn(CHUNK, us - F.pmod(us, F.lit(width))).withColumn(SPAN, F.lit(width).cast("long"))
     by = [*series.keys, CHUNK]
     for _ in range(rounds):
-        crowded = (
+        crowded = pin(
             out.groupBy(*by)
             .agg(F.count("*").alias("_rows"))
             .where(F.col("_rows") > rows_per_chunk)
@@ -75,7 +77,7 @@ def assign_chunks(df: DataFrame, series: Series, rows_per_chunk: int = CHUNK_ROW
         )
         step = F.greatest(F.lit(1).cast("long"), F.expr(f"{SPAN} div coalesce(_parts, 1)"))
         out = (
-            out.join(F.broadcast(crowded), by, "left")
+            out.join(crowded, by, "left")
             .withColumn(SPAN, step)
             .withColumn(CHUNK, F.col(CHUNK) + (us - F.col(CHUNK)) - F.pmod(us - F.col(CHUNK), F.col(SPAN)))
             .drop("_parts")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +35,11 @@ def build_session(app: str = "driftline", master: str | None = None, **conf: str
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings every job relies on, whoever built the session."""
+    import driftline
+
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # functions run in Python workers travel with the job, so executors need no copy of the package
+    cloudpickle.register_pickle_by_value(driftline)
     shared_dir(spark)
     return spark
 
@@ -81,5 +87,30 @@ def pin(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(settled) if settled.count() <= max_rows else settled
 
 
+# logical operators whose result is costly to compute again
+_COSTLY = re.compile(r"\b(Join|Aggregate|Window|Sort|Union|Expand|Generate|MapInPandas|FlatMapGroupsInPandas|Distinct)\b")
+
+
+def is_plain_scan(df: DataFrame) -> bool:
+    """Whether reading ``df`` again costs no more than a pruned scan."""
+    try:
+        return not _COSTLY.search(df._jdf.queryExecution().optimizedPlan().toString())
+    except Exception:
+        return False
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Give a frame that is read several times a table of its own on the shared folder, unless it is a plain scan.
+
+    This also keeps plans from doubling when ordered steps are stacked, and survives the loss of executors.
+    """
+    if is_plain_scan(df):
+        return df
+    spark = df.sparkSession
+    path = scratch_path(spark, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
