@@ -12,6 +12,12 @@ POSITIVE_WORDS = ("bull", "rally", "gain", "up", "surge", "support", "buy", "app
 NEGATIVE_WORDS = ("bear", "dump", "down", "selloff", "risk", "regulation", "ban", "hack", "volatility")
 RELEVANT_PATTERN = "bitcoin|btc"
 AXES = ("BTC", "MACRO", "TECH")
+# anything but a letter, a digit or an underscore, in any script, ends a word
+_EDGE = r"[^\p{L}\p{N}_]"
+
+
+def word_pattern(words: tuple[str, ...]) -> str:
+    return f"(^|{_EDGE})({'|'.join(words)})($|{_EDGE})"
 
 
 @dataclass(frozen=True)
@@ -55,7 +61,7 @@ def hits(text: Column, words: tuple[str, ...], whole_word: bool = False) -> Colu
     low = F.lower(text)
     total = F.lit(0)
     for word in words:
-        found = low.rlike(rf"\b{word}\b") if whole_word else low.contains(word)
+        found = low.rlike(word_pattern((word,))) if whole_word else low.contains(word)
         total = total + found.cast("int")
     return total
 
@@ -69,8 +75,8 @@ def matched_axes(text: Column, rules: tuple[AxisRule, ...] = AXIS_RULES) -> Colu
     low = F.lower(text)
     tags = []
     for rule in rules:
-        met = low.rlike(r"\b(" + "|".join(rule.any_of) + r")\b")
+        met = low.rlike(word_pattern(rule.any_of))
         if rule.none_of:
-            met = met & ~low.rlike(r"\b(" + "|".join(rule.none_of) + r")\b")
+            met = met & ~low.rlike(word_pattern(rule.none_of))
         tags.append(F.when(met, F.lit(rule.axis)))
     return F.array_compact(F.array(*tags))

@@ -10,7 +10,7 @@ from pyspark.sql.types import NumericType
 
 from driftline.functions.numeric import number
 from driftline.functions.temporal import parse_ts
-from driftline.functions.text import article_text, is_relevant
+from driftline.functions.text import RELEVANT_PATTERN, article_text, is_relevant
 
 # Columns that must never reach a model.
 LEAKAGE_COLUMNS = ("target_up", "future_return")
@@ -36,8 +36,8 @@ def between_days(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
     return df.where((F.col(ts) >= first) & (F.col(ts) <= last))
 
 
-def relevant_only(df: DataFrame, title: str = "title", description: str = "description") -> DataFrame:
-    return df.where(is_relevant(article_text(title, description)))
+def relevant_only(df: DataFrame, title="title", description="description", pattern: str = RELEVANT_PATTERN) -> DataFrame:
+    return df.where(is_relevant(article_text(title, description), pattern))
 
 
 def nonblank_text(df: DataFrame, out: str = "text_nlp") -> DataFrame:

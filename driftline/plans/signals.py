@@ -36,7 +36,13 @@ def combine_signal(price_class: Column | str, sentiment_label: Column | str) ->
 
 
 def keyword_sentiment(
-    df: DataFrame, keys: Sequence[str], title: str, description: str | None = None, whole_word: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    title: str,
+    description: str | None = None,
+    whole_word: bool = False,
+    positive: tuple[str, ...] = POSITIVE_WORDS,
+    negative: tuple[str, ...] = NEGATIVE_WORDS,
 ) -> DataFrame:
     """Keyword hits summed per key, their normalised balance and its label."""
     body = F.col(description) if description else F.lit(None).cast("string")
@@ -45,8 +51,8 @@ def keyword_sentiment(
     return (
         df.groupBy(*keys)
         .agg(
-            F.coalesce(F.sum(hits(text, POSITIVE_WORDS, whole_word)), F.lit(0)).alias("pos_hits"),
-            F.coalesce(F.sum(hits(text, NEGATIVE_WORDS, whole_word)), F.lit(0)).alias("neg_hits"),
+            F.coalesce(F.sum(hits(text, positive, whole_word)), F.lit(0)).alias("pos_hits"),
+            F.coalesce(F.sum(hits(text, negative, whole_word)), F.lit(0)).alias("neg_hits"),
         )
         .withColumn("score", (pos - neg) / F.greatest(pos + neg, F.lit(1)))
         .withColumn("label", label_by("score", KEYWORD_CUT))

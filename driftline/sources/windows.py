@@ -25,10 +25,12 @@ def live_request_plan(df: DataFrame, now: Column | str, hours: int = 24, axes: S
     return request_plan(df, n - F.expr(f"INTERVAL '{hours}' HOUR"), n, axes)
 
 
-def missing_requests(plan: DataFrame, landed: DataFrame, ts: str = "published_at", axis: str = "axis") -> DataFrame:
-    """Planned (day, axis) pairs for which nothing has landed."""
-    have = landed.select(F.to_date(ts).alias("day"), axis).distinct()
-    return plan.join(have, ["day", axis], "left_anti")
+def missing_requests(
+    plan: DataFrame, landed: DataFrame, ts: str = "published_at", axis: str = "axis", by: Sequence[str] = ()
+) -> DataFrame:
+    """Planned (``by``, day, axis) for which nothing has landed."""
+    have = landed.select(*by, F.to_date(ts).alias("day"), axis).distinct()
+    return plan.join(have, [*by, "day", axis], "left_anti")
 
 
 def candle_window(
