@@ -254,3 +254,9 @@ def classification_metrics(df: DataFrame, keys: Sequence[str], y="y_true", pred=
     if keys:
         return base.join(auc, list(keys), "left")
     return base.join(F.broadcast(auc), F.lit(True), "left")  # one row
+
+
+def tail_n(df: DataFrame, series: Series, n: int) -> DataFrame:
+    """Last ``n`` rows of every series; the rank limit runs before the shuffle."""
+    w = series.window(descending=True)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")

@@ -17,7 +17,7 @@ def _transform(y: Column, lam: Column) -> Column:
 
 
 def boxcox_lambda(df: DataFrame, keys: Sequence[str], col: str, rounds: int = 4) -> DataFrame:
-    """lambda to about 1e-3 with advice; series with a value <= 0 get null and "Not applicable".
+    """``lam`` to about 1e-3 with advice; series with a value <= 0 get null and "Not applicable".
 
     Values are divided by their geometric mean, which leaves the exponent unchanged and the likelihood a plain
     function of one variance. Every round is one aggregate over all series.
@@ -63,7 +63,7 @@ def boxcox_lambda(df: DataFrame, keys: Sequence[str], col: str, rounds: int = 4)
     return base.join(at, keys, "left").select(
         *keys,
         "n",
-        F.round(lam, 3).alias("lambda"),
+        F.round(lam, 3).alias("lam"),
         advice.alias("recommendation"),
         F.when(lam.isNull(), "Non-positive values").otherwise("OK").alias("note"),
     )

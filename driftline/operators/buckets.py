@@ -34,6 +34,11 @@ def bucket_total(df: DataFrame, keys: Sequence[str], ts: str, freq: str, score="
     )
 
 
+def _start_first(grouped: DataFrame, keys: Sequence[str]) -> DataFrame:
+    rest = [c for c in grouped.columns if c not in (*keys, "_w")]
+    return grouped.select(*keys, F.col("_w.start").alias("bucket"), *rest)
+
+
 def sentiment_wide(
     df: DataFrame, keys: Sequence[str], ts: str, freq: str, axes: Sequence[str], axis="axis", score="sentiment_score"
 ) -> DataFrame:
@@ -49,8 +54,9 @@ def sentiment_wide(
             F.count(x).alias(f"sentiment_count_{a}"),
             F.stddev_samp(x).alias(f"sentiment_std_{a}"),
         ]
-    return (
-        df.groupBy(*keys, floor_ts(ts, freq).alias("bucket"))
+    # grouping by the whole window, not its start, keeps the watermark of a stream
+    grouped = (
+        df.groupBy(*keys, F.window(ts, freq).alias("_w"))
         .agg(
             *aggs,
             F.avg(score).alias("sentiment_total_mean"),
@@ -58,8 +64,8 @@ def sentiment_wide(
             F.count_if(F.col(axis).isin(*axes)).alias("_tagged"),
         )
         .where(F.col("_tagged") > 0)
-        .drop("_tagged")
     )
+    return _start_first(grouped, keys).drop("_tagged")
 
 
 def sentiment_null_policy(wide: DataFrame, compat: bool = False) -> DataFrame:
@@ -78,9 +84,9 @@ def sentiment_null_policy(wide: DataFrame, compat: bool = False) -> DataFrame:
 def ohlc_resample(df: DataFrame, keys: Sequence[str], ts: str, price: str, freq: str, tie: str | None = None):
     """First, highest, lowest and last known price per bucket."""
     order = F.struct(ts, tie) if tie else F.struct(ts)
-    return (
+    grouped = (
         df.where(F.col(price).isNotNull())
-        .groupBy(*keys, floor_ts(ts, freq).alias("bucket"))
+        .groupBy(*keys, F.window(ts, freq).alias("_w"))
         .agg(
             F.min_by(price, order).alias("open"),
             F.max(price).alias("high"),
@@ -89,6 +95,7 @@ def ohlc_resample(df: DataFrame, keys: Sequence[str], ts: str, price: str, freq:
             F.count("*").alias("n_points"),
         )
     )
+    return _start_first(grouped, keys)
 
 
 def candle_density(df: DataFrame, keys: Sequence[str], ts: str, price: str, freq: str, min_points: int = 2):

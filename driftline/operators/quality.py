@@ -23,7 +23,7 @@ def _long(df: DataFrame, cols: Sequence[str], name: str, value: str) -> DataFram
 def null_ratio(df: DataFrame, top: int | None = 15) -> DataFrame:
     """Share of nulls per column, largest first."""
     wide = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in df.columns])
-    out = _long(wide, df.columns, "column", "ratio").orderBy(F.desc("ratio"), "column")
+    out = _long(wide, df.columns, "column_name", "ratio").orderBy(F.desc("ratio"), "column_name")
     return out.limit(top) if top else out
 
 
@@ -31,7 +31,7 @@ def zero_ratio(df: DataFrame, top: int | None = 15) -> DataFrame:
     """Share of exact zeros per numeric column over all rows, largest first."""
     cols = numeric_columns(df)
     wide = df.agg(*[F.avg(F.coalesce((F.col(c) == 0).cast("double"), F.lit(0.0))).alias(c) for c in cols])
-    out = _long(wide, cols, "column", "ratio").orderBy(F.desc("ratio"), "column")
+    out = _long(wide, cols, "column_name", "ratio").orderBy(F.desc("ratio"), "column_name")
     return out.limit(top) if top else out
 
 
@@ -43,9 +43,9 @@ def class_balance(df: DataFrame, col: str) -> DataFrame:
 
 def describe(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Count, mean, std, min, exact quartiles and max per column, one row per (key, column)."""
-    marks = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols]))
-    long = df.select(*keys, marks.alias("_m")).select(*keys, "_m.column", "_m._v")
-    by = [*keys, "column"]
+    marks = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_v")) for c in cols]))
+    long = df.select(*keys, marks.alias("_m")).select(*keys, "_m.column_name", "_m._v")
+    by = [*keys, "column_name"]
     basic = long.groupBy(*by).agg(
         F.count("_v").alias("count"),
         F.avg("_v").alias("mean"),
@@ -63,9 +63,9 @@ def corr_with_target(df: DataFrame, targets: Sequence[str], cols: Sequence[str]
     cols = list(cols or numeric_columns(df))
     wide = df.agg(*[F.corr(c, t).alias(f"{t}|{c}") for t in targets for c in cols])
     long = _long(wide, wide.columns, "_pair", "r").select(
-        F.split("_pair", r"\|")[0].alias("target"), F.split("_pair", r"\|")[1].alias("column"), "r"
+        F.split("_pair", r"\|")[0].alias("target"), F.split("_pair", r"\|")[1].alias("column_name"), "r"
     )
-    w = Window.partitionBy("target").orderBy(F.abs("r").desc_nulls_last(), "column")
+    w = Window.partitionBy("target").orderBy(F.abs("r").desc_nulls_last(), "column_name")
     return long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
 
 
@@ -105,7 +105,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     width = (F.col("_hi") - F.col("_lo")) / bins
     at = F.least(F.lit(bins), F.coalesce(F.width_bucket("_x", "_lo", "_hi", F.lit(bins)), F.lit(1)))
     counts = known.join(span, F.lit(True)).groupBy(at.cast("long").alias("bin")).agg(F.count("*").alias("n"))
-    grid = span.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).cast("long").alias("bin"), "_lo", width.alias("_w"))
+    grid = span.select(F.explode(F.sequence(F.lit(1).cast("long"), F.lit(bins).cast("long"))).alias("bin"), "_lo", width.alias("_w"))
     return grid.join(counts, "bin", "left").select(
         "bin",
         (F.col("_lo") + (F.col("bin") - 1) * F.col("_w")).alias("lo"),
