@@ -10,7 +10,7 @@ from driftline.operators import buckets, rolling
 from driftline.operators.backtest import classification_metrics, time_split
 from driftline.plans import score
 from driftline.plans.price import PROFILES, price_features
-from driftline.session import table
+from driftline.session import settle, table
 
 
 def _word_scorer():
@@ -145,10 +145,10 @@ def stores(spark, d):
     """Stored history per task and resolution; the live store of a task holds the whole span at one hour."""
     history, live = {}, {}
     btc = candles(spark, d).where("series_id = 'purchase'")
-    feats = price_features(btc, BARS, "1h").drop("series_id").withColumnRenamed("ts", "timestamp")
+    feats = settle(price_features(btc, BARS, "1h").drop("series_id").withColumnRenamed("ts", "timestamp"))
     for res, freq in (("1h", "1 hour"), ("4h", "4 hours")):
         wide = buckets.sentiment_null_policy(buckets.sentiment_wide(news(spark, d), ["series_id"], "published_at", freq, AXES))
-        history[("sentiment", res)] = wide.drop("series_id").withColumnRenamed("bucket", "timestamp")
+        history[("sentiment", res)] = settle(wide.drop("series_id").withColumnRenamed("bucket", "timestamp"))
         history[("price", res)] = feats
         live[("sentiment", res)] = history[("sentiment", "1h")]
     return history, live

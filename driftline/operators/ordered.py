@@ -188,19 +188,16 @@ def carry(
         for new, old in columns.items():
             picks.append(pick(F.col(old), F.when(F.col(old).isNotNull(), rank)).alias(f"_in_{new}"))
             inbound.append(F.last(f"_in_{new}", ignorenulls=True).over(past).alias(f"_in_{new}"))
-    summary = out.groupBy(*by).agg(*picks).select(*by, *inbound)
-    names = [new for _, columns in plans for new in columns]
-    out = (
-        out.alias("l")
-        .join(summary.alias("r"), _same(by), "left")
-        .select("l.*", *[F.col(f"r._in_{new}") for new in names])
-    )
+    # what enters a chunk from outside is one more row in front of it, so the large side needs no join
+    lead = out.groupBy(*by).agg(*picks).select(*by, *inbound, F.lit(True).alias(HALO))
+    out = out.withColumn(HALO, F.lit(False)).unionByName(lead, allowMissingColumns=True)
     for forward, columns in plans:
-        w = series.window(CHUNK, descending=not forward).rowsBetween(*frame)
+        w = Window.partitionBy(*by).orderBy(F.col(HALO).desc(), *series.order(not forward)).rowsBetween(*frame)
         out = out.withColumns(
-            {new: F.coalesce(F.last(old, ignorenulls=True).over(w), F.col(f"_in_{new}")) for new, old in columns.items()}
+            {new: F.last(F.coalesce(F.col(old), F.col(f"_in_{new}")), ignorenulls=True).over(w) for new, old in columns.items()}
         )
-    return out.drop(CHUNK, *[f"_in_{new}" for new in names])
+    names = [new for _, columns in plans for new in columns]
+    return out.where(~F.col(HALO)).drop(CHUNK, HALO, *[f"_in_{new}" for new in names])
 
 
 def number_rows(
@@ -217,25 +214,38 @@ def number_rows(
     out = assign_chunks(df, series, rows_per_chunk)
     w = Window.partitionBy(*series.keys)
     past = w.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    counts = out.groupBy(*by).agg(F.count("*").alias("_n"))
-    offsets = counts.select(
-        *by, F.coalesce(F.sum("_n").over(past), F.lit(0)).alias("_before"), F.sum("_n").over(w).alias("n_rows")
+    lead = (
+        out.groupBy(*by)
+        .agg(F.count("*").alias("_n"))
+        .select(
+            *by,
+            F.coalesce(F.sum("_n").over(past), F.lit(0)).alias("_w"),
+            F.sum("_n").over(w).alias("n_rows"),
+            F.lit(True).alias(HALO),
+        )
+    )
+    rows = out.withColumns({"_w": F.lit(1).cast("long"), HALO: F.lit(False)})
+    inside = Window.partitionBy(*by).orderBy(F.col(HALO).desc(), *series.order())
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    stacked = rows.unionByName(lead, allowMissingColumns=True).withColumns(
+        {"row_no": F.sum("_w").over(upto), "n_rows": F.first("n_rows").over(upto)}
     )
-    joined = out.alias("l").join(offsets.alias("r"), _same(by)).select("l.*", "r._before", "r.n_rows")
-    local = F.row_number().over(series.window(CHUNK))
-    return joined.withColumn("row_no", (local + F.col("_before")).cast("long")).drop(CHUNK, "_before")
+    return stacked.where(~F.col(HALO)).select(*df.columns, "row_no", "n_rows")
 
 
 def running_total(df: DataFrame, keys: list[str], part: str, order: str, value: str, out: str) -> DataFrame:
     """Inclusive running sum of ``value`` along ``order`` per key, taken part by part.
 
-    ``part`` must rise with ``order``. Each part is summed first, so only part totals meet in one place.
+    ``part`` must rise with ``order``. Each part is summed first, so only part totals meet in one place; what lies
+    before a part enters it as one more row.
     """
     by = [*keys, part]
     past = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    before = df.groupBy(*by).agg(F.sum(value).alias("_s")).select(
-        *by, F.coalesce(F.sum("_s").over(past), F.lit(0)).alias("_before")
+    lead = (
+        df.groupBy(*by)
+        .agg(F.sum(value).alias("_s"))
+        .select(*by, F.coalesce(F.sum("_s").over(past), F.lit(0)).alias(value), F.lit(True).alias(HALO))
     )
-    joined = df.alias("l").join(before.alias("r"), _same(by)).select("l.*", "r._before")
-    upto = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return joined.withColumn(out, F.sum(value).over(upto) + F.col("_before")).drop("_before")
+    stacked = df.withColumn(HALO, F.lit(False)).unionByName(lead, allowMissingColumns=True)
+    upto = Window.partitionBy(*by).orderBy(F.col(HALO).desc(), order).rowsBetween(Window.unboundedPreceding, 0)
+    return stacked.withColumn(out, F.sum(value).over(upto)).where(~F.col(HALO)).drop(HALO)

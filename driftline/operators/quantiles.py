@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.operators.ordered import running_total
-from driftline.session import pin
+from driftline.session import pin, settle
 
 ACCURACY = 10_000
 PARTS = 4096
@@ -25,7 +25,7 @@ def exact_quantiles(
     Groups below five times ``accuracy`` rows are ranked whole.
     """
     small_group = 5 * accuracy
-    data = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    data = settle(df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull()))
     slack = 3.0 / accuracy
     cuts = [c for p in probs for c in (max(0.0, p - slack), min(1.0, p + slack))]
     sketch = data.groupBy(*keys).agg(
@@ -48,7 +48,6 @@ def exact_quantiles(
             ).alias("_b"),
         ),
     )
-    inside = F.filter("_b", lambda b: F.col("_x") <= b["hi"])
     lo, hi = F.col("_p.lo"), F.col("_p.hi")
     under = F.col("_x") < lo
     # position inside the bracket; -1 gathers all rows below it, open brackets are small groups
@@ -56,7 +55,8 @@ def exact_quantiles(
     part = F.when(under, -1).when((hi - lo) < float("inf"), F.coalesce(share, F.lit(0))).otherwise(0)
     placed = (
         _join(data, brackets, keys)
-        .withColumn("_p", F.explode(inside))
+        .withColumn("_p", F.explode("_b"))
+        .where(F.col("_x") <= hi)
         .select(
             *keys,
             "n",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from driftline.functions.numeric import null_if_zero
 from driftline.operators.ordered import Series, over_series
 from driftline.operators.quantiles import exact_quantiles
-from driftline.session import pin
+from driftline.session import pin, settle
 
 ROLL_ROWS = 7
 ROLL_MIN = 3
@@ -90,6 +90,7 @@ def returns(df: DataFrame, series: Series, col: str, method: str = "log", out="r
 
 def quantile_clip(df: DataFrame, keys: Sequence[str], col: str, q: float = 0.01, min_rows: int = 50) -> DataFrame:
     """Hold each series to its own [q, 1-q] quantiles when it has more than ``min_rows`` values."""
+    df = settle(df)
     edges = exact_quantiles(df, list(keys), col, [q, 1 - q]).select(
         *keys, F.col("n").alias("_n"), F.col("q")[0].alias("_lo"), F.col("q")[1].alias("_hi")
     )

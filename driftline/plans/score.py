@@ -17,7 +17,7 @@ from driftline.functions.numeric import blend
 from driftline.functions.temporal import RESOLUTION_SECONDS
 from driftline.operators.clean import align_features, drop_leakage, fill_and_cast
 from driftline.operators.joins import asof_join
-from driftline.session import broadcast_if_small
+from driftline.session import broadcast_if_small, settle
 
 THRESHOLD = 0.5
 # Default model per task, text batch size.
@@ -214,7 +214,8 @@ def batch_predict(
             F.lit(task).alias("task"), F.lit(res).alias("resolution"), "first_ts", "last_ts"
         )
         spans = span if spans is None else spans.unionByName(span)
-    routed = route_mode(requests, spans)
+    # read once per task, resolution and mode
+    routed = settle(route_mode(requests, spans))
     none = {"prediction": F.lit(None).cast("int"), "proba_up": F.lit(None).cast("double"), "confidence": F.lit(None).cast("double")}
     out = routed.where(F.col("msg").isNotNull()).withColumns(none).select(*result)
     served = F.lit(False)

@@ -8,11 +8,11 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# A series whose whole input is below this fits one task, so it is windowed unsplit.
-UNSPLIT_BYTES = 256 * 1024 * 1024
+# Series whose whole (compressed) input is below this fit one task each, so they are windowed unsplit.
+UNSPLIT_BYTES = 128 * 1024 * 1024
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 200_000
 
@@ -61,30 +61,37 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate. Without column statistics it is an upper bound for filters and aggregates."""
+def source_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files a frame is computed from, as Catalyst sees them after pruning; None when unknown.
+
+    Estimates further up the plan are of little use here: without column statistics a join counts as a product.
+    """
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except Exception:
         return None
 
 
 def is_small(df: DataFrame, limit: int = UNSPLIT_BYTES) -> bool:
-    size = plan_bytes(df)
+    size = source_bytes(df)
     return size is not None and size <= limit
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only when the estimate allows it; otherwise Spark shuffles both sides."""
+    """Hint a broadcast only for what comes from little input; otherwise Spark decides by the size it meets."""
     return F.broadcast(df) if is_small(df, limit) else df
 
 
 def pin(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Settle a small aggregate on the shared folder, and hint its broadcast only if its row count is small."""
-    shared_dir(df.sparkSession)
-    settled = df.checkpoint(eager=True)
-    return F.broadcast(settled) if settled.count() <= max_rows else settled
+    """Write a small aggregate to the shared folder, and hint its broadcast only if its counted size is small."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "pinned")
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    small = seen.get["rows"] <= max_rows and is_small(stored, BROADCAST_BYTES)
+    return F.broadcast(stored) if small else stored
 
 
 # logical operators whose result is costly to compute again
