@@ -67,7 +67,7 @@ def model_files(spark, d):
     r AS (SELECT event_id, CASE event_type WHEN 'error' THEN 'volume' WHEN 'view' THEN 'price' ELSE 'sentiment' END AS task,
       CASE WHEN value > 60 THEN '24h' WHEN value > 20 THEN '4h' ELSE '1h' END AS resolution,
       CASE event_type WHEN 'view' THEN 'view_price' WHEN 'click' THEN 'click_clf' WHEN 'error' THEN NULL ELSE 'xgb_clf' END AS model FROM events)
-    FINAL SELECT *, CASE WHEN task = 'volume' THEN 'task must be sentiment or price' WHEN resolution NOT IN (SELECT resolution FROM inv WHERE inv.task = r.task) THEN 'resolution not available'
+    FINAL SELECT *, CASE WHEN task = 'volume' THEN 'task must be sentiment or price' WHEN task NOT IN (SELECT task FROM inv) THEN 'no models for task' WHEN resolution NOT IN (SELECT resolution FROM inv WHERE inv.task = r.task) THEN 'resolution not available'
       WHEN model NOT IN (SELECT model FROM inv WHERE inv.task = r.task) THEN 'model not available' END AS msg FROM r""",
 )
 def validated_requests(spark, d):
@@ -234,7 +234,7 @@ def _trained(spark, d, algo, **params):
     """Direction model on the first 80 percent of each series' candles, metrics on the rest."""
     feats = price_features(rolling.future_target(candles(spark, d), BARS, "close", 1), BARS, "1h")
     target = rolling.future_target(candles(spark, d), BARS, "close", 1).select("series_id", "ts", "target_up")
-    rows = time_split(feats.join(target, ["series_id", "ts"]), BARS, 0.2).where(F.col("target_up").isNotNull()).persist()
+    rows = settle(time_split(feats.join(target, ["series_id", "ts"]), BARS, 0.2).where(F.col("target_up").isNotNull()))
     cols = PROFILES["1h"].columns
     model = score.train_direction(rows.where("part = 'train'"), cols, algo, **params)
     keep = ["series_id", "ts", "y_true"]

@@ -344,7 +344,7 @@ def direction_from_price(spark, d):
     FINAL SELECT event_id, datetime, label, CASE WHEN y_pred IS NOT NULL AND (mood IS NULL OR mood = y_pred) THEN CASE y_pred WHEN 1 THEN 'UP' ELSE 'DOWN' END
       WHEN y_pred IS NOT NULL THEN 'MIXED' WHEN mood IS NOT NULL THEN CASE mood WHEN 1 THEN 'UP' ELSE 'DOWN' END ELSE 'NEUTRAL' END AS final_label,
       greatest(0, least(100, CAST(trunc((score + 1) * 50) AS INT))) AS sentiment_percent,
-      coalesce(greatest(0, least(100, CAST(trunc(confidence * 100) AS INT))), 50) AS confidence_percent FROM c""",
+      CASE WHEN confidence IS NULL THEN 50 ELSE greatest(0, least(100, CAST(trunc(confidence * 100) AS INT))) END AS confidence_percent FROM c""",
 )
 def final_signals(spark, d):
     rf = predictions(spark, d).where("model = 'rf'").select("event_id", "y_pred", "proba_up")

@@ -215,7 +215,7 @@ def stationarity_by_resampling(spark, d):
     Shape("series_id recommendation note", "n", ((1, "lam"),)),
     f"""WITH {DAILY_SQL}, b AS (SELECT series_id, count(*) AS n, avg(ln(price)) AS lg, min(price) AS mn FROM daily GROUP BY 1),
     s AS (SELECT series_id, n, exp(ln(price) - lg) AS y FROM daily JOIN b USING (series_id) WHERE mn > 0),
-    g AS (SELECT unnest(generate_series(-3000, 3000, 5)) / 1000.0::DOUBLE AS l),
+    g AS (SELECT unnest(generate_series(-3000, 3000, 1)) / 1000.0::DOUBLE AS l),
     f AS (SELECT series_id, l, any_value(n) AS n, -any_value(n) / 2 * ln(var_pop(CASE WHEN abs(l) < 1e-9 THEN ln(y) ELSE (pow(y, l) - 1) / l END)) AS ll FROM s, g GROUP BY 1, 2),
     m AS (SELECT series_id, any_value(n) AS n, arg_max(l, ll) AS lam FROM f GROUP BY 1)
     FINAL SELECT series_id, n, lam, CASE WHEN abs(lam - 1) < 0.2 THEN 'Probably not needed' WHEN abs(lam) < 0.2 THEN 'Log/Box-Cox likely helpful'

@@ -50,14 +50,20 @@ def inv_box_cox(c: Column | str, lam: Column | float) -> Column:
     return F.when(k == 0, F.exp(c)).otherwise(power)
 
 
+def _percent(c: Column) -> Column:
+    # least and greatest pass over nulls, so an unknown value is kept apart
+    whole = F.greatest(F.lit(0), F.least(F.lit(100), c.cast("int")))
+    return F.when(c.isNotNull(), whole)
+
+
 def score_percent(c: Column | str) -> Column:
     """Score in [-1, 1] to a whole percentage."""
-    return F.greatest(F.lit(0), F.least(F.lit(100), ((_col(c) + 1) * 50).cast("int")))
+    return _percent((_col(c) + 1) * 50)
 
 
 def confidence_percent(c: Column | str) -> Column:
-    scaled = F.greatest(F.lit(0), F.least(F.lit(100), (_col(c) * 100).cast("int")))
-    return F.coalesce(scaled, F.lit(50))
+    """Confidence to a whole percentage; 50 when unknown."""
+    return F.coalesce(_percent(_col(c) * 100), F.lit(50))
 
 
 def label_by(c: Column | str, cut: float) -> Column:

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 LOG_COLUMNS = ("timestamp", "task", "model", "resolution", "prediction", "proba_up", "confidence")
 
@@ -23,13 +22,13 @@ def write_features(df: DataFrame, root: str, task: str, resolution: str) -> None
 
 
 def latest_revision(spark: SparkSession, root: str) -> int:
-    """Highest stored revision, 0 for none. Reads folder names only."""
-    try:
-        stored = spark.read.parquet(root)
-    except AnalysisException:
+    """Highest stored revision, 0 for none. Lists folder names only."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
         return 0
-    row = stored.agg(F.max(F.col("revision").cast("int")).alias("r")).first()
-    return row["r"] or 0
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return max((int(n.split("=")[1]) for n in names if n.startswith("revision=")), default=0)
 
 
 def write_versioned(df: DataFrame, root: str) -> int:
