@@ -8,6 +8,7 @@ from driftline.catalog.base import BARS, DAILY_SQL, Shape, daily, prices, query
 from driftline.operators import autoregression, boxcox, buckets, correlogram, decomposition, unit_root
 from driftline.operators.backtest import forecast_metrics, time_split
 from driftline.operators.ordered import Series
+from driftline.session import settle
 from driftline.catalog.backtests import SCOPED, SCOPES_SQL, scoped
 
 RET_SQL = f"""{DAILY_SQL}, ret0 AS (SELECT series_id, ts, ln(price) - lag(ln(price)) OVER (PARTITION BY series_id ORDER BY ts) AS x FROM daily),
@@ -250,7 +251,7 @@ def order_search(spark, d):
 @query()
 def fitted_forecast_metrics(spark, d):
     """One-step forecasts of the test part by the order of least AIC, against the training scale."""
-    parts = time_split(daily(spark, d), BARS, 0.05)
+    parts = settle(time_split(daily(spark, d), BARS, 0.05))
     train = parts.where("part = 'train'").select("series_id", "ts", "price")
     grid = autoregression.order_grid_search(train, BARS, "price", autoregression.grid_of(2, 1), d=1, m=7)
     fits = autoregression.best_fit(grid, ["series_id"])

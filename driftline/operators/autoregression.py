@@ -15,7 +15,7 @@ from driftline.operators.correlogram import centred
 from driftline.operators.lagsums import GRAM_CHUNK_ROWS, lag_sums, solve
 from driftline.operators.ordered import Series, number_rows, over_series
 from driftline.operators.rolling import difference
-from driftline.session import pin
+from driftline.session import pin, settle
 
 TOP = 5
 
@@ -54,7 +54,7 @@ def order_grid_search(
     lags = sorted({k for p, _ in orders for k in range(1, p + 1)} | {k * m for _, sp in orders for k in range(1, sp + 1) if m})
     reach = max(lags, default=0)
     diffed = difference(train, series, col, d=d, seasonal=sd, period=m or 1, out="_w", split=split)
-    slim = diffed.select(*keys, *dict.fromkeys((series.ts, *series.tie)), "_w")
+    slim = settle(diffed.select(*keys, *dict.fromkeys((series.ts, *series.tie)), "_w"))
     means = slim.groupBy(*keys).agg(F.avg("_w").alias("_mean"))
     rows = number_rows(centred(slim, keys, "_w", "_c"), series, split=split).where(F.col("n_rows") > 2 * reach + 10)
 

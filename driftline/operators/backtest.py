@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from driftline.functions.numeric import rel_diff
 from driftline.operators.ordered import Series, number_rows, over_series, running_total
 from driftline.operators.quantiles import one_quantile
-from driftline.session import pin
+from driftline.session import settle
 
 METRICS = ("mae", "rmse", "mase", "smape")
 # Sizes below which a scope is not evaluated, fold layout, fall-back thresholds.
@@ -166,6 +166,7 @@ def split_differences(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def p75_thresholds(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: 75th percentile of all split differences and of all fold variations, with fixed fall-backs."""
+    metrics = settle(metrics)
     diffs = split_differences(metrics, keys).select(F.explode(F.array("mae_diff", "rmse_diff", "mase_diff")).alias("x"))
     cvs = cv_of_folds(metrics, keys).select(F.explode(F.array("mae_cv", "rmse_cv")).alias("x"))
     a = one_quantile(diffs, "x", 0.75, STABILITY_DEFAULT).select(F.col("q").alias("stability_threshold"))
@@ -175,7 +176,7 @@ def p75_thresholds(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def stability_checks(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
     """ok / unstable / insufficient per scope, for the second split and for the expanding folds."""
-    metrics = pin(metrics)
+    metrics = settle(metrics)
     limits = p75_thresholds(metrics, keys)
     scopes = metrics.where(F.col("name") == "naive_main").select(*keys)
     joined = (

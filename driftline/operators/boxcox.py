@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftline.session import pin
+from driftline.session import pin, settle
 
 GRID = [round(-3.0 + 0.25 * i, 2) for i in range(25)]
 
@@ -24,7 +24,7 @@ def boxcox_lambda(df: DataFrame, keys: Sequence[str], col: str, rounds: int = 4)
     """
     keys = list(keys)
     x = F.col(col).cast("double")
-    known = df.select(*keys, x.alias("_x")).where(F.col("_x").isNotNull())
+    known = settle(df.select(*keys, x.alias("_x")).where(F.col("_x").isNotNull()))
     base = pin(
         known.groupBy(*keys).agg(
             F.count("*").alias("n"),

@@ -82,8 +82,11 @@ def sentiment_null_policy(wide: DataFrame, compat: bool = False) -> DataFrame:
 
 
 def ohlc_resample(df: DataFrame, keys: Sequence[str], ts: str, price: str, freq: str, tie: str | None = None):
-    """First, highest, lowest and last known price per bucket."""
-    order = F.struct(ts, tie) if tie else F.struct(ts)
+    """First, highest, lowest and last known price per bucket.
+
+    With times unique per series leave ``tie`` out: a plain time order is hashed, a pair has to be sorted.
+    """
+    order = F.struct(ts, tie) if tie else F.col(ts)
     grouped = (
         df.where(F.col(price).isNotNull())
         .groupBy(*keys, F.window(ts, freq).alias("_w"))

@@ -38,7 +38,7 @@ def seasonal_decompose(df: DataFrame, series: Series, col: str, period: int, spl
     rows = number_rows(df.where(F.col(col).isNotNull()), series, split=split).where(F.col("n_rows") >= 2 * period)
     reach = period // 2
     out = over_series(rows, series, lambda w: {"trend": centred_trend(col, period, w)}, back=reach, ahead=reach, split=split)
-    out = out.withColumn("_pos", (F.col("row_no") - 1) % period)
+    out = settle(out.withColumn("_pos", (F.col("row_no") - 1) % period))
     means = out.groupBy(*keys, "_pos").agg(F.avg(F.col(col) - F.col("trend")).alias("_m"))
     level = F.avg("_m").over(Window.partitionBy(*keys))
     # one row per series and position

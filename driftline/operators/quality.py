@@ -12,7 +12,7 @@ from driftline.functions.temporal import freq_of_granularity, granularity_of, se
 from driftline.operators.clean import numeric_columns
 from driftline.operators.ordered import Series, over_series
 from driftline.operators.quantiles import exact_quantiles
-from driftline.session import pin
+from driftline.session import pin, settle
 
 
 def _long(df: DataFrame, cols: Sequence[str], name: str, value: str) -> DataFrame:
@@ -43,6 +43,7 @@ def class_balance(df: DataFrame, col: str) -> DataFrame:
 
 def describe(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Count, mean, std, min, exact quartiles and max per column, one row per (key, column)."""
+    df = settle(df.select(*keys, *cols))
     marks = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("_v")) for c in cols]))
     long = df.select(*keys, marks.alias("_m")).select(*keys, "_m.column_name", "_m._v")
     by = [*keys, "column_name"]
@@ -89,7 +90,7 @@ def quantile_bins(df: DataFrame, feature: str, bins: int = 5) -> DataFrame:
 
 
 def conditional_analysis(df: DataFrame, feature: str, bins: int = 5, ret="future_return", up="target_up") -> DataFrame:
-    known = df.select(feature, ret, up).na.drop()
+    known = settle(df.select(feature, ret, up).na.drop())
     return (
         quantile_bins(known, feature, bins)
         .groupBy("bin", "lo", "hi")
@@ -100,7 +101,7 @@ def conditional_analysis(df: DataFrame, feature: str, bins: int = 5, ret="future
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Equal-width counts between minimum and maximum, the last bin closed; empty bins are 0."""
     x = F.col(col).cast("double")
-    known = df.select(x.alias("_x")).where(F.col("_x").isNotNull())
+    known = settle(df.select(x.alias("_x")).where(F.col("_x").isNotNull()))
     span = F.broadcast(known.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi")))  # one row
     width = (F.col("_hi") - F.col("_lo")) / bins
     at = F.least(F.lit(bins), F.coalesce(F.width_bucket("_x", "_lo", "_hi", F.lit(bins)), F.lit(1)))

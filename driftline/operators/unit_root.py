@@ -107,7 +107,7 @@ def adf_test(
     keys = list(series.keys)
     known = df.where(F.col(col).isNotNull()).select(*keys, *dict.fromkeys((series.ts, *series.tie)), F.col(col).cast("double").alias("_v"))
     # the level is only known up to the constant, so centring changes nothing but the precision
-    rows = settle(number_rows(centred(known, keys, "_v", "_y"), series, split=split).where(F.col("n_rows") >= 8))
+    rows = centred(number_rows(known, series, split=split).where(F.col("n_rows") >= 8), keys, "_v", "_y")
     longest = rows.agg(F.max("n_rows").alias("n")).first()["n"] or 8
     reach = max_lag_for(longest) + 1
     sums = lag_sums(rows, series, "_y", reach, lambda n: max_lag_for(n) + 1, _design, split, rows_per_chunk)
@@ -140,6 +140,7 @@ def adf_test(
 def infer_d(df: DataFrame, series: Series, col: str, alpha: float = ALPHA, max_diff: int = MAX_DIFF, split=None) -> DataFrame:
     """How often each series must be differenced until the test accepts it; one round per order for all series left."""
     keys = list(series.keys)
+    df = settle(df)
     left = pin(df.select(*keys).distinct())
     settled = None
     for d in range(max_diff + 1):
@@ -183,7 +184,7 @@ def stationarity_table(
 ) -> DataFrame:
     """Verdict per series and resampling label; ``label`` is one of the series keys."""
     keys = list(series.keys)
-    known = df.where(F.col(col).isNotNull())
+    known = settle(df.where(F.col(col).isNotNull()))
     period = F.coalesce(*[F.when(F.col(label) == k, F.lit(m)) for k, m in period_of.items()], F.lit(1))
     sizes = known.groupBy(*keys).agg(F.count("*").alias("n")).withColumn("enough", F.col("n") >= 2 * period)
     tested = adf_test(known.join(sizes.where("enough").select(*keys), keys, "left_semi"), series, col, alpha, split)

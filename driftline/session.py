@@ -26,6 +26,8 @@ def build_session(app: str = "driftline", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # stream state larger than the heap
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **conf,
     }
     for key, value in settings.items():
@@ -95,7 +97,7 @@ def pin(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 # logical operators whose result is costly to compute again
-_COSTLY = re.compile(r"\b(Join|Aggregate|Window|Sort|Union|Expand|Generate|MapInPandas|FlatMapGroupsInPandas|Distinct)\b")
+_COSTLY = re.compile(r"\b(Join|Aggregate|Window|Sort|MapInPandas|FlatMapGroupsInPandas|Distinct)\b")
 
 
 def is_plain_scan(df: DataFrame) -> bool:
