@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from driftline.functions.temporal import PERIOD_CANDIDATES
-from driftline.operators.ordered import Series, over_series
+from driftline.operators.ordered import CHUNK, HALO, Series, framed_chunks, over_series
 from driftline.operators.rolling import difference
 from driftline.session import pin, settle
 
@@ -21,6 +21,8 @@ Z95 = 1.96
 PERIOD_ACF = 0.02
 PERIOD_LAG_CAP = 2000
 MIN_ORDER_ROWS = 30
+# up to this many lags stay in the JVM
+FEW_LAGS = 8
 
 
 def centred(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFrame:
@@ -30,22 +32,14 @@ def centred(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFrame
     return df.join(means, list(keys)).withColumn(out, F.col(col) - F.col("_mean")).drop("_mean")
 
 
-def acf(df: DataFrame, series: Series, col: str, lags: Sequence[int], split: bool | None = None) -> DataFrame:
-    """Biased autocorrelation per (series, lag) for lags >= 1, with the series length ``n``.
-
-    Values are centred first, so products keep their digits. Each row meets its own lagged values inside the
-    chunk and is reduced to sums before the only shuffle of the second stage.
-    """
+def _sums_in_rows(x: DataFrame, series: Series, lags: list[int], split: bool | None) -> DataFrame:
     keys = list(series.keys)
-    lags = sorted({int(k) for k in lags if k >= 1})
-    known = df.where(F.col(col).isNotNull()).select(*keys, *dict.fromkeys((series.ts, *series.tie)), F.col(col).alias("_v"))
-    x = centred(known, keys, "_v", "_x")
     lagged = over_series(x, series, lambda w: {f"_l{k}": F.lag("_x", k).over(w) for k in lags}, back=max(lags), split=split)
     pairs = F.array(
         F.struct(F.lit(0).alias("lag"), F.col("_x").alias("y")),
         *[F.struct(F.lit(k).alias("lag"), F.col(f"_l{k}").alias("y")) for k in lags],
     )
-    sums = (
+    return (
         lagged.select(*keys, "_x", F.explode(pairs).alias("_p"))
         .where(F.col("_p.y").isNotNull())
         .groupBy(*keys, F.col("_p.lag").alias("lag"))
@@ -55,6 +49,46 @@ def acf(df: DataFrame, series: Series, col: str, lags: Sequence[int], split: boo
             F.sum(F.col("_x") + F.col("_p.y")).alias("_s"),
         )
     )
+
+
+def _sums_in_chunks(x: DataFrame, series: Series, lags: list[int], split: bool | None) -> DataFrame:
+    keys, order = list(series.keys), list(dict.fromkeys((series.ts, *series.tie)))
+    framed = framed_chunks(x, series, max(lags), split).select(*keys, CHUNK, HALO, *order, "_x")
+    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in framed.select(*keys).schema.fields)
+
+    def reduce(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        v = pdf["_x"].to_numpy(dtype=float)
+        own = np.flatnonzero(~pdf[HALO].to_numpy(dtype=bool))
+        first, last = int(own[0]), int(own[-1]) + 1  # own rows are contiguous
+        found = []
+        for k in [0, *lags]:
+            start = max(first, k)  # the rows in front are all there are, or reach far enough
+            if start < last:
+                now, then = v[start:last], v[start - k : last - k]
+                found.append((*group[: len(keys)], k, last - start, float(now @ then), float(now.sum() + then.sum())))
+        return pd.DataFrame(found, columns=[*keys, "lag", "_c", "_xy", "_s"])
+
+    parts = framed.groupBy(*keys, CHUNK).applyInPandas(
+        reduce, f"{key_schema}, lag int, _c long, _xy double, _s double"
+    )
+    return parts.groupBy(*keys, "lag").agg(*[F.sum(c).alias(c) for c in ("_c", "_xy", "_s")])
+
+
+def acf(df: DataFrame, series: Series, col: str, lags: Sequence[int], split: bool | None = None) -> DataFrame:
+    """Biased autocorrelation per (series, lag) for lags >= 1, with the series length ``n``.
+
+    Values are centred first, so products keep their digits. Products are summed inside each (series, chunk), row by
+    row for a few lags and as vector products for many; only the sums meet afterwards.
+    """
+    keys = list(series.keys)
+    lags = sorted({int(k) for k in lags if k >= 1})
+    known = df.where(F.col(col).isNotNull()).select(*keys, *dict.fromkeys((series.ts, *series.tie)), F.col(col).alias("_v"))
+    x = centred(known, keys, "_v", "_x")
+    if len(lags) <= FEW_LAGS:
+        sums = _sums_in_rows(x, series, lags, split)
+    else:
+        sums = _sums_in_chunks(x, series, lags, split)
     base = sums.where("lag = 0").select(*keys, F.col("_c").alias("n"), F.col("_xy").alias("_xx"), (F.col("_s") / 2).alias("_x0"))
     mean = F.col("_x0") / F.col("n")
     top = F.col("_xy") - mean * F.col("_s") + F.col("_c") * mean * mean

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.operators.ordered import CHUNK, HALO, Series, assign_chunks, should_split, with_halo
+from driftline.operators.ordered import CHUNK, HALO, Series, framed_chunks
 
 BLOCK = 20_000
 GRAM_CHUNK_ROWS = 500_000
@@ -37,11 +37,7 @@ def lag_sums(
     ``design(values, start, stop, n_rows)`` gives the design rows of positions start..stop-1.
     """
     keys = list(series.keys)
-    if should_split(df, split):
-        framed = with_halo(assign_chunks(df, series, rows_per_chunk), series, back=reach)
-    else:
-        framed = df.withColumns({CHUNK: F.lit(0).cast("long"), HALO: F.lit(False)})
-    slim = framed.select(*keys, CHUNK, HALO, "row_no", "n_rows", F.col(col).cast("double").alias("_x"))
+    slim = framed_chunks(df, series, reach, split, rows_per_chunk).select(*keys, CHUNK, HALO, "row_no", "n_rows", F.col(col).cast("double").alias("_x"))
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.select(*keys).schema.fields)
 
     def reduce(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

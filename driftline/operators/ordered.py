@@ -130,6 +130,15 @@ def with_halo(df: DataFrame, series: Series, back: int = 0, ahead: int = 0) -> D
     return out
 
 
+def framed_chunks(
+    df: DataFrame, series: Series, back: int, split: bool | None, rows_per_chunk: int = CHUNK_ROWS
+) -> DataFrame:
+    """Chunks with the ``back`` rows before each, for work that takes a whole chunk at a time."""
+    if should_split(df, split):
+        return with_halo(assign_chunks(df, series, rows_per_chunk), series, back=back)
+    return df.withColumns({CHUNK: F.lit(0).cast("long"), HALO: F.lit(False)})
+
+
 Step = Callable[[WindowSpec], Mapping[str, Column]]
 
 

@@ -65,17 +65,3 @@ def test_split_series_shuffle_the_rows_once(spark):
 def test_row_local_jobs_join_nothing(spark, name):
     text = plan(load()[name].run(spark, D))
     assert "Join" not in text and "CartesianProduct" not in text
-
-
-# joined with a single row: totals, edges, limits
-ONE_ROW = {
-    "class_balance", "conditional_returns", "error_thresholds", "recent_rows", "recent_rows_fallback",
-    "stability_verdicts", "value_histogram",
-}
-
-
-@pytest.mark.parametrize("name", sorted(n for n in load() if not n.startswith("stream")))
-def test_no_cartesian_product(spark, name):
-    text = plan(load()[name].run(spark, D))
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text or name in ONE_ROW

@@ -38,8 +38,12 @@ def np_acf(x, k):
 
 @pytest.mark.parametrize("split", [False, True])
 def test_acf(df, split):
-    for r in correlogram.acf(df, S, "v", [1, 2, 25], split).collect():
-        assert r["acf"] == pytest.approx(np_acf(series()[r["s"]], r["lag"]), abs=1e-9)
+    # a few lags row by row, many as vector products
+    for lags in ([1, 2, 25], list(range(1, 41))):
+        rows = correlogram.acf(df, S, "v", lags, split).collect()
+        assert len(rows) == len(lags) * len(series())
+        for r in rows:
+            assert r["n"] == N and r["acf"] == pytest.approx(np_acf(series()[r["s"]], r["lag"]), abs=1e-9)
 
 
 def test_pacf_matches_yule_walker(df):
