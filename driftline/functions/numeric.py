@@ -38,9 +38,11 @@ def range_norm(high: Column | str, low: Column | str, close: Column | str) -> Co
     return F.try_divide(_col(high) - _col(low), null_if_zero(close))
 
 
-def box_cox(c: Column | str, lam: float) -> Column:
+def box_cox(c: Column | str, lam: Column | float) -> Column:
+    """Power transform of positive values; ``lam`` may be a column, such as the exponent found for each series."""
     c = _col(c)
-    return F.log(c) if lam == 0 else (F.pow(c, F.lit(lam)) - 1.0) / lam
+    k = lam if isinstance(lam, Column) else F.lit(float(lam))
+    return F.when(k == 0, F.log(c)).otherwise(F.try_divide(F.pow(c, k) - 1.0, k))
 
 
 def inv_box_cox(c: Column | str, lam: Column | float) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftline.functions.numeric import box_cox
 from driftline.session import pin, settle
 
 GRID = [round(-3.0 + 0.25 * i, 2) for i in range(25)]
@@ -16,6 +17,13 @@ def _transform(y: Column, lam: Column) -> Column:
     return F.when(F.abs(lam) < 1e-9, F.log(y)).otherwise((F.pow(y, lam) - 1.0) / lam)
 
 
+def boxcox_by_series(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFrame:
+    """Add ``out``, the transform of ``col`` with the exponent of its series, and ``lam`` to undo it later."""
+    df = settle(df)
+    lams = pin(boxcox_lambda(df, keys, col).select(*keys, "lam"))
+    return df.join(lams, list(keys), "left").withColumn(out, box_cox(col, F.col("lam")))
+
+
 def boxcox_lambda(df: DataFrame, keys: Sequence[str], col: str, rounds: int = 4) -> DataFrame:
     """``lam`` to about 1e-3 with advice; series with a value <= 0 get null and "Not applicable".
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.temporal import epoch_us, floor_ts
 from driftline.operators.clean import numeric_columns
+from driftline.session import settle
 
 # A calendar label closes its period, as in the pandas month-end rule.
 CALENDAR = {"month": "month", "quarter": "quarter", "year": "year"}
@@ -202,6 +203,7 @@ def volume_per_day(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
 
 def regular_spine(df: DataFrame, keys: Sequence[str], ts: str, freq: str) -> DataFrame:
     """Reindex every series to a full grid; missing steps are null rows."""
+    df = settle(df)
     bounds = df.groupBy(*keys).agg(F.min(ts).alias("_a"), F.max(ts).alias("_z"))
     step = F.expr(f"INTERVAL {freq}")
     spine = bounds.select(*keys, F.explode(F.sequence("_a", "_z", step)).alias(ts))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.text import AXES
-from driftline.operators.buckets import sentiment_null_policy, sentiment_wide
+from driftline.operators.buckets import regular_spine, sentiment_null_policy, sentiment_wide
 from driftline.operators.clean import dedupe_first
 from driftline.operators.joins import fill_from_index, index_asof
 from driftline.operators.ordered import Series
@@ -30,13 +30,19 @@ def sentiment_features(
     index_value: str = "fear_greed_index",
     index_mode: str = "exact",
     compat: bool = False,
+    spine: bool = False,
 ) -> DataFrame:
     """Aggregate, pivot, fill, roll and join the daily index.
 
+    Lags and windows count rows, so they skip empty buckets; ``spine`` adds those as rows first.
+
     One shuffle reduces the articles to buckets. The ordered part then runs on at most one row per series and
     bucket, a number set by the time span and not by the article volume, so it is windowed per series.
     """
-    wide = sentiment_null_policy(sentiment_wide(news, keys, ts, freq, axes, axis, score), compat)
+    wide = sentiment_wide(news, keys, ts, freq, axes, axis, score)
+    if spine:
+        wide = regular_spine(wide, keys, "bucket", freq)
+    wide = sentiment_null_policy(wide, compat)
     means = [c for c in wide.columns if "mean" in c]
     series = Series(tuple(keys), "bucket")
     out = rolling_block(wide, series, means, split=False)

@@ -34,14 +34,24 @@ def missing_requests(
 
 
 def candle_window(
-    df: DataFrame, ts: str, resolution: str, now: str | None = None, start: str | None = None, end: str | None = None
+    df: DataFrame,
+    ts: str,
+    resolution: str,
+    now: str | None = None,
+    start: str | None = None,
+    end: str | None = None,
+    reach: int = 0,
 ) -> DataFrame:
-    """Rows of the look-back before ``now``, or of [start, end]. The bounds are literals, so they reach the scan."""
-    seconds_of(resolution)
+    """Rows of the look-back before ``now``, or of [start, end]. The bounds are literals, so they reach the scan.
+
+    ``reach`` is how many rows the features computed next look back; the window is widened to hold one more.
+    """
+    step = seconds_of(resolution)
+    hours = max(LOOKBACK_HOURS[resolution], (reach + 1) * step // 3600)
     kind = dict(df.dtypes)[ts]
     if now is not None:
         z = F.lit(now).cast(kind)
-        a = z - F.expr(f"INTERVAL '{LOOKBACK_HOURS[resolution]}' HOUR")
+        a = z - F.expr(f"INTERVAL '{hours}' HOUR")
     elif start is None or end is None:
         raise ValueError("give now, or both start and end")
     elif end <= start:

@@ -66,6 +66,23 @@ def test_index_exact_misses_absent_midnight(spark):
     assert exact == [50.0, 30.0, 30.0] and asof == [20.0, 30.0, 30.0]
 
 
+def test_spine_adds_empty_buckets(spark):
+    df = news(spark, [(at(0), "BTC", 0.4), (at(3), "BTC", 0.1)])
+    got = sentiment_features(df, ["series_id"], spine=True).orderBy("bucket").collect()
+    assert [r["bucket"] for r in got] == [at(i) for i in range(4)]
+    assert [r["sentiment_mean_BTC_lag1"] for r in got] == [None, 0.4, 0.0, 0.0] and got[1]["total_count"] is None
+
+
+def test_irregular_series_is_reported_or_refused(spark):
+    times = [0, 1, 2, 3, 9, 10.5]
+    df = ntz(spark.createDataFrame([("s", at(h)) for h in times], "k string, ts timestamp"), "ts")
+    row = quality.cadence_report(df, BARS).first()
+    assert (row["mode_s"], row["mode_share"], row["n_gaps"], row["verdict"]) == (3600.0, 0.6, 2, "irregular")
+    assert (row["granularity"], row["freq"], row["max_gap_s"]) == ("1-hour", "1 hour", 6 * 3600.0)
+    with pytest.raises(Exception, match="regular enough"):
+        quality.cadence_report(df, BARS, fail=True).collect()
+
+
 def test_past_only_features(spark):
     rows = [(at(i), "BTC", ((i * 37) % 11 - 5) / 10) for i in range(30)]
     cols = ["bucket", "sentiment_mean_BTC_roll_mean", "sentiment_mean_BTC_roll_std", "sentiment_mean_BTC_shock"]

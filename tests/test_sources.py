@@ -94,6 +94,8 @@ def test_windows(spark):
         windows.candle_window(day, "now", "1h", start="2026-01-02", end="2026-01-01")
     with pytest.raises(ValueError):
         windows.candle_window(day, "now", "2h", now="2026-01-02")
+    assert windows.candle_window(day, "now", "1h", now="2026-01-03 10:00:00").count() == 0
+    assert windows.candle_window(day, "now", "1h", now="2026-01-03 10:00:00", reach=30).count() == 1
 
 
 def test_sinks(spark, tmp_path):

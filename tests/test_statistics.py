@@ -145,6 +145,14 @@ def test_box_cox(df):
     assert got["skewed"]["lam"] == pytest.approx(best, abs=2e-3)
 
 
+def test_box_cox_there_and_back(df):
+    from driftline.functions.numeric import inv_box_cox
+
+    moved = boxcox.boxcox_by_series(df, ["s"], "v", "b").where("s = 'skewed'")
+    worst = moved.select(F.max(F.abs(inv_box_cox("b", F.col("lam")) - F.col("v")))).first()[0]
+    assert worst < 1e-8
+
+
 def test_period_from_acf(df):
     got = {r["s"]: (r["period"], r["source"]) for r in correlogram.infer_period(df, S, "v", "4-hour").collect()}
     assert got["season"] == (6, "acf") and got["walk"][1] == "first_candidate" or got["walk"][1] == "acf"
