@@ -75,6 +75,8 @@ def assign_chunks(df: DataFrame, series: Series, rows_per_chunk: int = CHUNK_ROW
             .where(F.col("_rows") > rows_per_chunk)
             .select(*by, F.ceil(2 * F.col("_rows") / rows_per_chunk).cast("long").alias("_parts"))
         )
+        if not crowded.limit(1).count():
+            break
         step = F.greatest(F.lit(1).cast("long"), F.expr(f"{SPAN} div coalesce(_parts, 1)"))
         out = (
             out.join(crowded, by, "left")
