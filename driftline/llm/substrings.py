@@ -132,8 +132,11 @@ def _emit_windows(window: int, shared):
             first[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
             least = docs[np.maximum.accumulate(np.where(first, np.arange(len(one)), 0))] if len(one) else docs
             keys = np.array([k for _, k, _ in block], np.int64)[row]
+            done = docs > least
+            # what is decided needs no company: it is spread by its own place, not by its hash
+            one = np.where(done, mix(keys.view(np.uint64) * _M1 + at.astype(np.uint64)), one)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(docs), pa.array(keys), pa.array(at.astype(np.int32)), pa.array(docs > least)],
+                [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(docs), pa.array(keys), pa.array(at.astype(np.int32)), pa.array(done)],
                 ["h1", "h2", "doc_id", "text_key", "pos", "done"],
             )
 
