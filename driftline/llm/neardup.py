@@ -5,11 +5,13 @@ the text times a smooth inverse document frequency between 1 and 2, read from a
 covers every document. Improved consistent weighted sampling draws ``ROWS * BANDS`` samples of each set: two sets agree in
 a sample with the probability of their weighted Jaccard similarity. Sets that agree in a whole band are candidates.
 
-Only different texts are compared; equal ones share a node from the start. A band's members are verified against
-the smallest member; components of the verified links follow. Members of a band that ended in another component than
-its smallest member are then compared with every member of the band outside their own component, if the totals of the
-weights allow the similarity at all. So every candidate pair is either linked through verified links or was compared
-itself, and groups of near copies are never expanded into all pairs.
+Only different texts are compared; equal ones share a node from the start. A band's members are verified against one
+of them, its head; components of the verified links follow. In the next rounds the head is the member with most links,
+and only members of other components are compared with it. Members that stay apart from their last head are strays. They
+meet the members of the bands they were found in through an exact filter: of two sets at the threshold, ordered by rarity, the
+first shared shingle leaves enough weight behind it in both. Pairs that pass are verified. So every candidate pair is
+linked through verified links, ruled out by a bound, or verified itself, and groups of near copies are never expanded
+into all pairs.
 
 Components come from rounds of minimum labels with pointer jumping, each written to the shared folder. Skewed groups:
 copies collapse by an aggregate that combines before its shuffle; joins on bands and labels are plain equi-joins with
@@ -40,6 +42,7 @@ SLOTS = 1 << 20  # counters of the document frequencies
 PIECE = 1 << 14
 DRAWS = 1 << 13  # rows of random draws; shingles are dealt to them by hash
 CHUNK = 1024
+ROUNDS = 3  # heads tried per band before the exact filter takes the rest
 WORD = re.compile(r"\w+")
 
 
@@ -139,21 +142,19 @@ def _read(shared) -> Frequencies:
 
 
 def signatures(docs: DataFrame, shared) -> DataFrame:
-    """(doc_id, node, weight, bands) of every row; texts without words have no bands."""
+    """(doc_id, node, bands) of every row; texts without words have no bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, freq, sampler = WordHashes(), _read(shared), Sampler()
         for b in batches:
-            weights, bands = [], []
+            bands = []
             for text in b.column(2).to_pylist():
                 s, n = shingles_of(text or "", known)
-                w = n * freq.of(s)
-                weights.append(float(w.sum()))
-                bands.append(sampler.bands(s, w) if len(s) else np.empty(0, np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(weights), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "node", "weight", "bands"])
+                bands.append(sampler.bands(s, n * freq.of(s)) if len(s) else np.empty(0, np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "node", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", node_of(F.col("text")).alias("node"), "text").mapInArrow(run, f"doc_id {kind}, node binary, weight double, bands array<bigint>")
+    return docs.select("doc_id", node_of(F.col("text")).alias("node"), "text").mapInArrow(run, f"doc_id {kind}, node binary, bands array<bigint>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, shared, similarity: float) -> DataFrame:
@@ -202,45 +203,92 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def leading_shingles(texts: DataFrame, shared, similarity: float) -> DataFrame:
+    """(node, weight, shingle, rest): shingles by which a text must meet any text at the similarity.
+
+    Shingles go by falling idf, then hash; ``rest`` is the weight from the shingle on. Two sets x and y at similarity t
+    overlap by at least t / (1 + t) * (weight(x) + weight(y)) >= t * weight(x), so their first common shingle has a rest of
+    that much in both.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, freq = WordHashes(), _read(shared)
+        for b in batches:
+            rows, weights, found, rests = [], [], [], []
+            for i, text in enumerate(b.column(1).to_pylist()):
+                s, n = shingles_of(text, known)
+                idf = freq.of(s)
+                order = np.lexsort((s, -idf))
+                w = (n * idf.astype(np.float64))[order]
+                rest = np.cumsum(w[::-1])[::-1]
+                lead = rest >= similarity * (1 - 1e-6) * w.sum()
+                rows.append(np.full(lead.sum(), i))
+                weights.append(np.full(lead.sum(), w.sum()))
+                found.append(s[order][lead])
+                rests.append(rest[lead])
+            at = pa.array(np.concatenate(rows).astype(np.int64)) if rows else pa.array([], pa.int64())
+            cols = [np.concatenate(c) if c else np.empty(0) for c in (weights, found, rests)]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array(cols[0]), pa.array(cols[1].astype(np.uint64).view(np.int64)), pa.array(cols[2])], ["node", "weight", "shingle", "rest"])
+
+    return texts.select("node", "text").mapInArrow(run, "node binary, weight double, shingle bigint, rest double")
+
+
+def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, node, class_id, class_node) of every row: ``class_node`` tells classes apart, also those without an id."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(document_frequencies(docs))
     rows = settled(signatures(docs, shared), "near-rows")
-    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("weight").alias("weight"), F.first("bands").alias("bands"))
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
     nodes = settled(nodes, "near-nodes")
 
-    members = nodes.select("node", "weight", F.posexplode("bands").alias("band", "key")).select("node", "weight", F.xxhash64("band", "key").alias("key"))
+    members = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("key"))
     heads = members.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     members = settled(members.join(heads, "key"), "near-members")
-    wanted = small_side(settled(members.select("node").distinct(), "near-wanted"))
+    heads = settled(members.select("key", "head").distinct(), "near-heads")
+    members = members.select("key", "node")
     # one row for each text that is compared
-    named = nodes.select("node", "first").join(wanted, "node")
-    named = small_side(settled(named, "near-named"))
+    wanted = small_side(settled(members.select("node").distinct(), "near-wanted"))
+    named = small_side(settled(nodes.select("node", "first").join(wanted, "node"), "near-named"))
     texts = docs.select("doc_id", node_of(F.col("text")).alias("node"), F.coalesce("text", F.lit("")).alias("text")).alias("d")
     texts = texts.join(named.alias("n"), (F.col("d.node") == F.col("n.node")) & F.col("d.doc_id").eqNullSafe(F.col("n.first")), "left_semi")
     texts = settled(texts.dropDuplicates(["node"]).select("node", "text"), "near-texts")
 
-    pairs = members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    links = settled(verified(pairs, texts, shared, similarity), "near-links")
-    labels = components(links)
-
-    # members of a band whose component is not that of the band's head, against all outside their own component
-    placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    heads = labels.select(F.col("node").alias("head"), F.col("label").alias("head_label"))
-    placed = placed.join(heads, "head", "left").withColumn("head_label", F.coalesce("head_label", "head"))
-    strays = settled(placed.where("label <> head_label").select("key", "node", "weight", "label", "head"), "near-strays")
-    open_keys = strays.select("key").distinct()
-    rest = settled(placed.join(open_keys, "key").select("key", F.col("node").alias("other"), F.col("weight").alias("other_weight"), F.col("label").alias("other_label")), "near-rest")
-    more = strays.join(rest, "key").where(
-        (F.col("label") != F.col("other_label"))
-        & (F.col("other") != F.col("head"))
-        & (F.least("weight", "other_weight") >= similarity * 0.999 * F.greatest("weight", "other_weight"))
-    )
-    more = more.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    extra = settled(verified(more, texts, shared, similarity), "near-more")
-    if extra.limit(1).count():
-        labels = components(links.union(extra))
+    none = heads.sparkSession.createDataFrame([], "node binary, label binary")
+    links, labels = None, none
+    for k in range(rounds + 1):
+        # members apart from the head of one of their bands
+        placed = labelled(members, labels).join(heads, "key")
+        placed = placed.join(labels.select(F.col("node").alias("head"), F.col("label").alias("head_label")), "head", "left")
+        strays = settled(placed.where(F.col("label") != F.coalesce("head_label", "head")).select("key", "node", "head"), f"near-strays-{k}")
+        if k == rounds or not strays.limit(1).count():
+            break
+        pairs = strays.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+        found = settled(verified(pairs, texts, shared, similarity), f"near-links-{k}")
+        links = found if links is None else links.union(found)
+        labels = components(links)
+        degrees = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
+        ranked = members.join(strays.select("key").distinct(), "key").join(degrees, "node", "left")
+        heads = ranked.groupBy("key").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "node")).alias("best"))
+        heads = settled(heads.select("key", F.col("best.node").alias("head")), f"near-heads-{k}")
+
+    if strays.limit(1).count():
+        apart = strays.select("node").distinct()
+        around = members.join(strays.select("key").distinct(), "key", "left_semi").select("node").distinct()
+        around = settled(labelled(around, labels).join(apart.withColumn("stray", F.lit(True)), "node", "left"), "near-around")
+        lead = leading_shingles(texts.join(small_side(around.select("node")), "node"), shared, similarity)
+        lead = settled(lead.join(small_side(around), "node"), "near-leading")
+        one = lead.where("stray").select("shingle", F.col("node").alias("a"), F.col("weight").alias("w_a"), F.col("rest").alias("r_a"), F.col("label").alias("l_a"))
+        two = lead.select("shingle", F.col("node").alias("b"), F.col("weight").alias("w_b"), F.col("rest").alias("r_b"), F.col("label").alias("l_b"))
+        enough = similarity / (1 + similarity) * (1 - 1e-6) * (F.col("w_a") + F.col("w_b"))
+        more = one.join(two, "shingle").where((F.col("l_a") != F.col("l_b")) & (F.least("r_a", "r_b") >= enough))
+        more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        more = settled(verified(more, texts, shared, similarity), "near-more")
+        if more.limit(1).count():
+            labels = components(more if links is None else links.union(more))
 
     classes = nodes.select("node", "first").join(labels, "node", "left").select("node", "first", F.coalesce("label", "node").alias("class_node"))
     classes = settled(classes, "near-classes")
