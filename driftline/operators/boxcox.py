@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.numeric import box_cox
-from driftline.session import pin, settle
+from driftline.session import join_same, pin, settle
 
 GRID = [round(-3.0 + 0.25 * i, 2) for i in range(25)]
 
@@ -21,7 +21,7 @@ def boxcox_by_series(df: DataFrame, keys: Sequence[str], col: str, out: str) ->
     """Add ``out``, the transform of ``col`` with the exponent of its series, and ``lam`` to undo it later."""
     df = settle(df)
     lams = pin(boxcox_lambda(df, keys, col).select(*keys, "lam"))
-    return df.join(lams, list(keys), "left").withColumn(out, box_cox(col, F.col("lam")))
+    return join_same(df, lams, list(keys), "left").withColumn(out, box_cox(col, F.col("lam")))
 
 
 def boxcox_lambda(df: DataFrame, keys: Sequence[str], col: str, rounds: int = 4) -> DataFrame:
@@ -41,7 +41,7 @@ def boxcox_lambda(df: DataFrame, keys: Sequence[str], col: str, rounds: int = 4)
         )
     )
     usable = base.where("_min > 0")
-    scaled = known.join(usable, keys).withColumn("_y", F.exp(F.log("_x") - F.col("_log")))
+    scaled = join_same(known, usable, keys).withColumn("_y", F.exp(F.log("_x") - F.col("_log")))
     step, grid = 0.25, F.array(*[F.lit(v) for v in GRID])
     at = None
     for _ in range(rounds):
@@ -49,7 +49,7 @@ def boxcox_lambda(df: DataFrame, keys: Sequence[str], col: str, rounds: int = 4)
             rows = scaled.withColumn("_lam", F.explode(grid))
         else:
             around = F.transform(F.sequence(F.lit(-10), F.lit(10)), lambda i: F.col("_best") + i * F.lit(step))
-            rows = scaled.join(at.select(*keys, "_best"), keys).withColumn("_lam", F.explode(around))
+            rows = join_same(scaled, at.select(*keys, "_best"), keys).withColumn("_lam", F.explode(around))
         fit = rows.groupBy(*keys, "n", "_lam").agg(F.var_pop(_transform(F.col("_y"), F.col("_lam"))).alias("_var"))
         fit = fit.withColumn("_ll", -F.col("n") / 2 * F.log("_var"))
         w = Window.partitionBy(*keys).orderBy("_lam")
@@ -68,7 +68,7 @@ def boxcox_lambda(df: DataFrame, keys: Sequence[str], col: str, rounds: int = 4)
         .when(F.abs(lam) < 0.2, "Log/Box-Cox likely helpful")
         .otherwise("May help (variance stabilization)")
     )
-    return base.join(at, keys, "left").select(
+    return join_same(base, at, keys, "left").select(
         *keys,
         "n",
         F.round(lam, 3).alias("lam"),

@@ -66,14 +66,11 @@ def since_cutoff(df: DataFrame, ts: str, cutoff: str) -> DataFrame:
 def recent_or_all(df: DataFrame, ts: str, end: str, hours: int = 48) -> DataFrame:
     """Rows of the last ``hours`` before ``end``, or every row if there are none; ``scope`` says which."""
     floor = F.lit(end).cast(dict(df.dtypes)[ts]) - F.expr(f"INTERVAL '{hours}' HOUR")
-    # a one-row aggregate decides for the whole range
-    recent = F.broadcast(df.agg(F.count_if(F.col(ts) >= floor).alias("_recent")))
-    return (
-        df.join(recent, F.lit(True))
-        .where((F.col("_recent") == 0) | (F.col(ts) >= floor))
-        .withColumn("scope", F.when(F.col("_recent") > 0, "recent").otherwise("all"))
-        .drop("_recent")
-    )
+    recent = df.where(F.col(ts) >= floor)
+    # one row answers the question, so the bound reaches the scan in both steps
+    if recent.limit(1).count():
+        return recent.withColumn("scope", F.lit("recent"))
+    return df.withColumn("scope", F.lit("all"))
 
 
 def align_features(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

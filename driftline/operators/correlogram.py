@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 from driftline.functions.temporal import PERIOD_CANDIDATES
 from driftline.operators.ordered import CHUNK, HALO, Series, framed_chunks, over_series
 from driftline.operators.rolling import difference
-from driftline.session import pin, settle
+from driftline.session import join_same, pin, settle
 
 # Significance width, thresholds and size rules.
 Z95 = 1.96
@@ -29,7 +29,7 @@ def centred(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFrame
     """``col`` minus the series mean. The frame is read twice, so it is settled first."""
     df = settle(df)
     means = pin(df.groupBy(*keys).agg(F.avg(col).alias("_mean")))
-    return df.join(means, list(keys)).withColumn(out, F.col(col) - F.col("_mean")).drop("_mean")
+    return join_same(df, means, list(keys)).withColumn(out, F.col(col) - F.col("_mean")).drop("_mean")
 
 
 def _sums_in_rows(x: DataFrame, series: Series, lags: list[int], split: bool | None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from driftline.functions.temporal import LAG_CANDIDATES
 from driftline.operators.correlogram import acf, chi2_tail, ljung_box_q
 from driftline.operators.ordered import Series, number_rows, over_series
-from driftline.session import pin, settle
+from driftline.session import join_same, pin, settle
 
 # Thresholds of the verdicts.
 STRONG_VAR, STRONG_ACF = 0.02, 0.2
@@ -43,7 +43,7 @@ def seasonal_decompose(df: DataFrame, series: Series, col: str, period: int, spl
     level = F.avg("_m").over(Window.partitionBy(*keys))
     # one row per series and position
     pattern = pin(means.withColumn("seasonal", F.col("_m") - level).select(*keys, "_pos", "seasonal"))
-    out = out.join(pattern, [*keys, "_pos"])
+    out = join_same(out, pattern, [*keys, "_pos"])
     return out.withColumn("resid", F.col(col) - F.col("trend") - F.col("seasonal")).drop("_pos", "n_rows")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from driftline.functions.temporal import epoch_us
-from driftline.session import is_small, pin, settle
+from driftline.session import join_same, pin, settle
 
 CHUNK = "_chunk"
 SPAN = "_span"
@@ -52,34 +52,35 @@ class Series:
 
 
 def should_split(df: DataFrame, split: bool | None) -> bool:
-    """Split unless the caller says otherwise or the whole input is known to be small."""
-    return (not is_small(df)) if split is None else split
+    """Split unless the caller, who knows a bound on the rows of a series, says otherwise."""
+    return True if split is None else split
 
 
-def assign_chunks(df: DataFrame, series: Series, rows_per_chunk: int = CHUNK_ROWS, rounds: int = 2) -> DataFrame:
+def assign_chunks(df: DataFrame, series: Series, rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
     """Add the start (epoch microseconds) of each row's chunk.
 
-    Every round counts rows per chunk and cuts the ones above ``rows_per_chunk`` into equal spans. The table of
-    such chunks has at most total rows / ``rows_per_chunk`` entries. The input is read several times from here on,
-    so anything but a plain scan is settled first.
+    Every round counts rows per chunk and cuts the ones above ``rows_per_chunk`` into equal spans, until none is
+    crowded or its span is a single instant. The table of such chunks has at most total rows / ``rows_per_chunk`` entries.
+    The input is read several times from here on, so anything but a plain scan is settled first. A whole number may
+    stand for the time.
     """
     df = settle(df)
     width = series.chunk_seconds * 1_000_000
-    us = epoch_us(series.ts)
+    us = F.col(series.ts).cast("long") if dict(df.dtypes)[series.ts] in ("int", "bigint") else epoch_us(series.ts)
     out = df.withColumn(CHUNK, us - F.pmod(us, F.lit(width))).withColumn(SPAN, F.lit(width).cast("long"))
     by = [*series.keys, CHUNK]
-    for _ in range(rounds):
+    while True:
         crowded = pin(
             out.groupBy(*by)
-            .agg(F.count("*").alias("_rows"))
-            .where(F.col("_rows") > rows_per_chunk)
+            .agg(F.count("*").alias("_rows"), F.max(SPAN).alias("_span"))
+            .where((F.col("_rows") > rows_per_chunk) & (F.col("_span") > 1))
             .select(*by, F.ceil(2 * F.col("_rows") / rows_per_chunk).cast("long").alias("_parts"))
         )
         if not crowded.limit(1).count():
             break
         step = F.greatest(F.lit(1).cast("long"), F.expr(f"{SPAN} div coalesce(_parts, 1)"))
         out = (
-            out.join(crowded, by, "left")
+            join_same(out, crowded, by, "left")
             .withColumn(SPAN, step)
             .withColumn(CHUNK, F.col(CHUNK) + (us - F.col(CHUNK)) - F.pmod(us - F.col(CHUNK), F.col(SPAN)))
             .drop("_parts")
@@ -218,6 +219,7 @@ def number_rows(
     rows_per_chunk: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add ``row_no`` (from 1, in series order) and ``n_rows`` (rows of the series)."""
+    df = df.drop("row_no", "n_rows")
     if not should_split(df, split):
         whole = Window.partitionBy(*series.keys)
         return df.withColumns({"row_no": F.row_number().over(series.window()).cast("long"), "n_rows": F.count("*").over(whole)})

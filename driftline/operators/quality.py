@@ -12,7 +12,7 @@ from driftline.functions.temporal import freq_of_granularity, granularity_of, se
 from driftline.operators.clean import numeric_columns
 from driftline.operators.ordered import Series, over_series
 from driftline.operators.quantiles import exact_quantiles
-from driftline.session import pin, settle
+from driftline.session import join_same, pin, settle
 
 
 def _long(df: DataFrame, cols: Sequence[str], name: str, value: str) -> DataFrame:
@@ -56,10 +56,10 @@ def describe(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFra
     )
     q = exact_quantiles(long, by, "_v", [0.25, 0.5, 0.75])
     quart = q.select(*by, F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"))
-    return basic.join(quart, by, "left").select(*by, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    return join_same(basic, quart, by, "left").select(*by, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def corr_with_target(df: DataFrame, targets: Sequence[str], cols: Sequence[str] | None = None, top: int = 15):
+def corr_with_target(df: DataFrame, targets: Sequence[str], cols: Sequence[str] | None = None, top: int | None = 15):
     """Pearson correlation of every numeric column with each target, strongest first, ``top`` per target."""
     cols = list(cols or numeric_columns(df))
     wide = df.agg(*[F.corr(c, t).alias(f"{t}|{c}") for t in targets for c in cols])
@@ -67,7 +67,8 @@ def corr_with_target(df: DataFrame, targets: Sequence[str], cols: Sequence[str]
         F.split("_pair", r"\|")[0].alias("target"), F.split("_pair", r"\|")[1].alias("column_name"), "r"
     )
     w = Window.partitionBy("target").orderBy(F.abs("r").desc_nulls_last(), "column_name")
-    return long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    ranked = long.withColumn("rank", F.row_number().over(w))
+    return ranked.where(F.col("rank") <= top) if top else ranked
 
 
 def quantile_bins(df: DataFrame, feature: str, bins: int = 5) -> DataFrame:
@@ -176,13 +177,13 @@ def cadence_report(df: DataFrame, series: Series, least_share: float = 0.7, fail
         F.max("_n").alias("n_mode"),
     )
     gaps = (
-        per.join(mode.select(*keys, "mode_s"), keys)
+        join_same(per, mode.select(*keys, "mode_s"), keys)
         .where(F.col("delta_s") > F.col("mode_s"))
         .groupBy(*keys)
         .agg(F.sum("_n").alias("_g"), F.max("delta_s").alias("max_gap_s"))
     )
     share = F.col("n_mode") / F.col("n_steps")
-    out = mode.join(gaps, keys, "left").select(
+    out = join_same(mode, gaps, keys, "left").select(
         *keys,
         "mode_s",
         "min_s",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.operators.ordered import running_total
-from driftline.session import pin, settle
+from driftline.session import join_same, pin, settle
 
 ACCURACY = 10_000
 PARTS = 4096
@@ -91,7 +91,7 @@ def _bound(index: int, open_end: float, is_open: bool, small_group: int) -> Colu
 
 def _join(df: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
     if keys:
-        return df.join(brackets, keys)
+        return join_same(df, brackets, keys)
     # one row on the right
     return df.join(brackets, F.lit(True))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from driftline.functions.numeric import null_if_zero
 from driftline.operators.ordered import Series, over_series
 from driftline.operators.quantiles import exact_quantiles
-from driftline.session import pin, settle
+from driftline.session import join_same, pin, settle
 
 ROLL_ROWS = 7
 ROLL_MIN = 3
@@ -96,7 +96,7 @@ def quantile_clip(df: DataFrame, keys: Sequence[str], col: str, q: float = 0.01,
     )
     held = F.greatest(F.col("_lo"), F.least(F.col("_hi"), F.col(col)))
     return (
-        df.join(pin(edges), list(keys), "left")
+        join_same(df, pin(edges), list(keys), "left")
         .withColumn(col, F.when((F.col("_n") > min_rows) & F.col(col).isNotNull(), held).otherwise(F.col(col)))
         .drop("_n", "_lo", "_hi")
     )

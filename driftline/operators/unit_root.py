@@ -14,7 +14,7 @@ from driftline.operators.correlogram import centred
 from driftline.operators.lagsums import GRAM_CHUNK_ROWS, lag_sums, solve
 from driftline.operators.ordered import Series, number_rows
 from driftline.operators.rolling import difference
-from driftline.session import pin, settle
+from driftline.session import join_same, pin, settle
 
 ALPHA = 0.05
 MAX_DIFF = 5
@@ -144,11 +144,11 @@ def infer_d(df: DataFrame, series: Series, col: str, alpha: float = ALPHA, max_d
     left = pin(df.select(*keys).distinct())
     settled = None
     for d in range(max_diff + 1):
-        tested = adf_test(difference(df.join(left, keys, "left_semi"), series, col, d=d, out="_w", split=split), series, "_w", alpha, split)
+        tested = adf_test(difference(join_same(df, left, keys, "left_semi"), series, col, d=d, out="_w", split=split), series, "_w", alpha, split)
         tested = pin(tested.select(*keys, "p_value", "stationary"))
         found = tested.where("stationary = 1").select(*keys, F.lit(d).alias("d"), "p_value")
         settled = found if settled is None else settled.unionByName(found)
-        left = pin(left.join(found, keys, "left_anti"))
+        left = pin(join_same(left, found, keys, "left_anti"))
         if not left.limit(1).count():
             return settled
     rest = left.select(*keys, F.lit(max_diff + 1).alias("d"), F.lit(None).cast("double").alias("p_value"))

@@ -11,8 +11,6 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Series whose whole (compressed) input is below this fit one task each, so they are windowed unsplit.
-UNSPLIT_BYTES = 128 * 1024 * 1024
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 200_000
 
@@ -47,7 +45,10 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see. Named by the cluster; a private one only where it is unset."""
+    """The folder all executors see, named by ``spark.checkpoint.dir``; a private one only for a local master.
+
+    On a cluster a folder of one machine would lose what executors write to theirs, so none is made up there.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if named:
@@ -55,10 +56,16 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if sc.getCheckpointDir() is None:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="driftline-"))
     return sc.getCheckpointDir()
 
 
+def is_local(master: str) -> bool:
+    return re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
@@ -75,7 +82,7 @@ def source_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def is_small(df: DataFrame, limit: int = UNSPLIT_BYTES) -> bool:
+def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     size = source_bytes(df)
     return size is not None and size <= limit
 
@@ -121,5 +128,15 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_same(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Join on equal keys, null keys included; the keys come from the left side. Both sides still hash by key."""
+    own = {c: f"_same_{c}" for c in keys}
+    other = right.select(*[F.col(c).alias(own[c]) if c in own else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for c in keys:
+        cond = cond & left[c].eqNullSafe(other[own[c]])
+    return left.join(other, cond, how).drop(*own.values())
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))

@@ -54,7 +54,7 @@ def test_carry_and_numbers(ticks, rows):
 
 def test_chunks_respect_the_row_limit(ticks):
     spread = ticks.where("id % 1 = 0").dropDuplicates(["k", "ts"])
-    sizes = ordered.assign_chunks(spread, SERIES, rows_per_chunk=50, rounds=3).groupBy("k", "_chunk").count()
+    sizes = ordered.assign_chunks(spread, SERIES, rows_per_chunk=50).groupBy("k", "_chunk").count()
     assert sizes.agg(F.max("count")).first()[0] <= 60
 
 
@@ -103,3 +103,28 @@ def test_quantiles_of_heavily_repeated_values(spark):
     got = exact_quantiles(df, [], "x", [0.5, 0.74, 0.76, 1.0], accuracy=200).first()
     want = df.toPandas().x.quantile([0.5, 0.74, 0.76, 1.0]).tolist()
     assert np.allclose(got["q"], want)
+
+
+def test_bursts_and_null_keys_are_cut(spark):
+    """A burst inside a second, and a series without a key, in chunks of at most twice the limit."""
+    burst = spark.range(4000).selectExpr("IF(id % 2 = 0, 'a', NULL) AS k", "timestamp_ntz'2026-01-01' + make_dt_interval(0, 0, 0, id / 1e5) AS ts", "id", "id * 1.0D AS v")
+    series = ordered.Series(("k",), "ts", ("id",))
+    chunks = ordered.assign_chunks(burst, series, rows_per_chunk=100).groupBy("k", "_chunk").count()
+    assert chunks.agg({"count": "max"}).first()[0] <= 200
+    got = ordered.number_rows(burst.withColumn("row_no", F.lit(0)), series, rows_per_chunk=100)
+    assert got.where("row_no <> floor(id / 2) + 1 OR n_rows <> 2000").count() == 0
+
+
+def test_quantiles_and_joins_keep_null_keys(spark):
+    from driftline.operators.quality import describe
+
+    rows = spark.range(60).selectExpr("IF(id < 30, NULL, 'b') AS k", "CAST(id % 30 AS DOUBLE) AS v")
+    got = {r["k"]: r["p50"] for r in describe(rows, ["k"], ["v"]).collect()}
+    assert got == {None: 14.5, "b": 14.5}
+
+
+def test_no_private_folder_off_a_local_master():
+    from driftline.session import is_local
+
+    assert is_local("local") and is_local("local[8]") and is_local("local[*]")
+    assert not is_local("yarn") and not is_local("local-cluster[3,2,3000]") and not is_local("spark://host:7077")
