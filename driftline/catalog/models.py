@@ -245,9 +245,9 @@ def _trained(spark, d, algo, **params):
 
 @query()
 def random_forest_direction(spark, d):
-    return _trained(spark, d, "rf", numTrees=20, maxDepth=5)
+    return _trained(spark, d, "rf")
 
 
 @query()
 def boosted_trees_direction(spark, d):
-    return _trained(spark, d, "gbt", maxIter=5, maxDepth=3)
+    return _trained(spark, d, "gbt")

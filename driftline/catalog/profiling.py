@@ -24,10 +24,10 @@ def wide(spark, d):
     Shape("column_name", "", ((7, "ratio"),)),
     f"""WITH {NEWS_SQL}, {wide_sql('series_id', '1 hour')} FINAL SELECT * FROM (
     {' UNION ALL '.join(f"SELECT '{c}' AS column_name, avg(CAST({c} IS NULL AS INT)) AS ratio FROM wide" for c in ['series_id', 'bucket', *WIDE_COLS])})
-    ORDER BY ratio DESC, column_name LIMIT 10""",
+    """,
 )
 def null_ratios(spark, d):
-    return quality.null_ratio(wide(spark, d), 10)
+    return quality.null_ratio(wide(spark, d), None)
 
 
 @query(
@@ -90,10 +90,10 @@ def targets(spark, d):
     Shape("target column_name", "rank", ((6, "r"),)),
     f"""WITH {TARGET_SQL}, c AS ({' UNION ALL '.join(
         f"SELECT '{t}' AS target, '{c}' AS column_name, corr({c}, {t}) AS r FROM tt" for t in ('future_return', 'target_up') for c in ('open', 'close', 'body', 'span'))})
-    FINAL SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY abs(r) DESC, column_name) AS rank FROM c) WHERE rank <= 3""",
+    FINAL SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY abs(r) DESC, column_name) AS rank FROM c)""",
 )
 def correlation_with_target(spark, d):
-    return quality.corr_with_target(targets(spark, d), ["future_return", "target_up"], ["open", "close", "body", "span"], top=3)
+    return quality.corr_with_target(targets(spark, d), ["future_return", "target_up"], ["open", "close", "body", "span"], top=None)
 
 
 @query(
@@ -157,7 +157,7 @@ def longest_gaps(spark, d):
 def monotonic_values(spark, d):
     """Arrival order against another column; the tables' times rise with the id, so the value shows backward steps."""
     arrival = Series(("event_type",), "event_id")
-    return quality.monotonic_check(events(spark, d), arrival, "value", split=False)
+    return quality.monotonic_check(events(spark, d), arrival, "value")
 
 
 @query(

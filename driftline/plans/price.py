@@ -41,8 +41,6 @@ class Profile:
 INTRADAY = Profile((1, 2, 4, 8, 24), (1, 2, 4), (8, 24), 24, True)
 DAILY = Profile((1, 2, 7, 14, 30), (1, 2, 3), (7, 14), 30, False)
 PROFILES = {"1h": INTRADAY, "4h": INTRADAY, "24h": DAILY}
-# Rows kept before features are built for one request.
-TAIL_ROWS = {"1h": 5000, "4h": 5000, "24h": 3000}
 
 
 def price_features(

@@ -11,7 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from driftline.functions.numeric import blend
 from driftline.functions.temporal import RESOLUTION_SECONDS
@@ -36,27 +36,31 @@ def score_text(
     factory: ScorerFactory,
     out: str = "score",
     batch: int = TEXT_BATCH,
-    max_chars: int | None = None,
+    failed: str | None = None,
 ) -> DataFrame:
     """Signed model score per text: +s positive, -s negative, 0 neutral; a failing batch scores 0.
 
-    Whole texts are passed on; ``max_chars`` is for models that cannot take them.
+    Whole texts are passed on. ``failed`` names a further column that flags the rows of failing batches.
     """
-    schema = StructType([*df.schema.fields, StructField(out, DoubleType())])
+    flags = [StructField(failed, BooleanType())] if failed else []
+    schema = StructType([*df.schema.fields, StructField(out, DoubleType()), *flags])
     signs = {"positive": 1.0, "negative": -1.0}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = factory()
         for pdf in frames:
-            texts = [("" if t is None else str(t))[:max_chars] for t in pdf[text]]
+            texts = ["" if t is None else str(t) for t in pdf[text]]
             scores: list[float] = []
+            bad: list[bool] = []
             for i in range(0, len(texts), batch):
                 part = texts[i : i + batch]
                 try:
                     scores += [signs.get(label, 0.0) * float(s) for label, s in model(part)]
+                    bad += [False] * len(part)
                 except Exception:
                     scores += [0.0] * len(part)
-            yield pdf.assign(**{out: scores})
+                    bad += [True] * len(part)
+            yield pdf.assign(**{out: scores}, **({failed: bad} if failed else {}))
 
     return df.mapInPandas(run, schema)
 

@@ -25,12 +25,13 @@ EMPTY_INDEX = "datetime timestamp, fear_greed_index double"
 EMPTY_PREDICTIONS = "datetime timestamp, y_pred double, y_true double, proba_up double"
 
 
-def read_text_csv(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> DataFrame:
-    """All columns as strings, headers trimmed; quoted line breaks and doubled quotes are kept together.
+def read_text_csv(spark: SparkSession, path: str | Sequence[str], sep: str = ",", line_breaks: bool = False) -> DataFrame:
+    """All columns as strings, headers trimmed, doubled quotes kept together.
 
-    A file with quoted line breaks is read by one task, so land large feeds as many files, or as parquet.
+    With ``line_breaks`` fields may hold quoted line breaks; such a file is read by one task, so land large feeds as
+    many files, or as parquet. Without, files are split.
     """
-    df = spark.read.csv(path, sep=sep, header=True, multiLine=True, escape='"', inferSchema=False)
+    df = spark.read.csv(path, sep=sep, header=True, multiLine=line_breaks, escape='"', inferSchema=False)
     return df.toDF(*[c.strip() for c in df.columns])
 
 
@@ -80,7 +81,7 @@ def as_news(df: DataFrame) -> DataFrame:
 
 
 def read_news(spark: SparkSession, path, sep: str = ",") -> DataFrame:
-    return as_news(read_text_csv(spark, path, sep))
+    return as_news(read_text_csv(spark, path, sep, line_breaks=True))
 
 
 def as_news_any_ts(df: DataFrame, out: str = "published_at") -> DataFrame:
@@ -92,7 +93,7 @@ def as_news_any_ts(df: DataFrame, out: str = "published_at") -> DataFrame:
 
 
 def read_news_any_ts(spark: SparkSession, path, sep: str = ",") -> DataFrame:
-    return as_news_any_ts(read_text_csv(spark, path, sep))
+    return as_news_any_ts(read_text_csv(spark, path, sep, line_breaks=True))
 
 
 def as_index(df: DataFrame) -> DataFrame:

@@ -9,17 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
 from driftline.operators.buckets import ohlc_resample, sentiment_null_policy, sentiment_wide
 from driftline.operators.ordered import Series
 from driftline.operators.rolling import ROLL_ROWS, rolling_block
 
 
-def landed_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", files_per_batch: int = 100):
-    return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_batch).load(path)
-
-
 def with_event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
     """Watermarks need a zoned timestamp; zone-less times are UTC."""
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
@@ -71,10 +66,8 @@ def feature_writer(
     def handle(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         fresh = batch.withColumn("_new", F.lit(True))
-        try:
-            old = spark.read.parquet(tail_path(epoch - 1)).withColumn("_new", F.lit(False)) if epoch else None
-        except AnalysisException:
-            old = None
+        # a tail that is gone must stop the stream: without it the rolling features would start anew unnoticed
+        old = spark.read.parquet(tail_path(epoch - 1)).withColumn("_new", F.lit(False)) if epoch else None
         known = fresh if old is None else fresh.unionByName(old)
         known = known.persist()
         out = rolling_block(known, series, means, split=False).where("_new").drop("_new")
