@@ -160,5 +160,9 @@ def score_quality(docs: DataFrame, model: RuleModel, out: str = "score", text: s
 
 def keep_good(docs: DataFrame, model: RuleModel, threshold: float = THRESHOLD) -> DataFrame:
     """The documents, with their own columns, that score at least the threshold."""
-    score = fresh(docs, "_score")
-    return score_quality(docs, model, score).where(F.col(score) >= threshold).drop(score)
+    stats, barrier = fresh(docs, "_stats"), fresh(docs, "_barrier")
+    # a filter is not pushed below a column of row numbers, so the statistics stay one column instead of being
+    # written out, and computed, at each mention in a rule
+    rows = with_statistics(docs, stats).withColumn(barrier, F.monotonically_increasing_id())
+    good = (score_of(model, F.col(stats)) >= threshold) & (F.col(barrier) >= 0)
+    return rows.where(good).drop(stats, barrier)
