@@ -34,11 +34,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without the passages that an earlier one has; untouched texts stay as they are."""
     ready(spark)
-    cut = substrings.remove_repeats(docs)
-    touched = F.col("n_removed") > 0
+    own = "cut_"  # before the operator's own columns, so that those of the documents stay
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own = f"_{own}"
+    cut = substrings.remove_repeats(docs, prefix=own)
+    touched, rest = F.col(f"{own}n_removed") > 0, F.col(f"{own}rest")
     made = {
-        "text": F.when(touched, F.col("rest")).otherwise(F.col("text")),
-        "n_chars": F.when(touched, F.length("rest").cast("bigint")).otherwise(F.col("n_chars")),
+        "text": F.when(touched, rest).otherwise(F.col("text")),
+        "n_chars": F.when(touched, F.length(rest).cast("bigint")).otherwise(F.col("n_chars")),
     }
     return cut.select(*[made[c].alias(c) if c in made else F.col(c) for c in docs.columns])
 

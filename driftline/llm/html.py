@@ -274,6 +274,6 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     lost = hashed.where("hash IS NOT NULL").join(known, ["host", "hash"])
     lost = small_side(settled(lost.groupBy(F.col("row").alias(row)).agg(F.collect_set("hash").alias(gone)), "html-lost"))
     rest = [c for c in pages.columns if c.lower() != "text"]
-    fed = keyed.join(lost, row, "left").select(F.col("url").alias("_1"), F.col("html").alias("_2"), F.col(gone).alias("_3"), *[F.col(c) for c in rest])
+    fed = keyed.join(lost, row, "left").select(F.col("url").alias(fresh(pages, "_url")), F.col("html").alias(fresh(pages, "_html")), F.col(gone), *[F.col(c) for c in rest])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*rest).schema) + ", text string"
     return fed.mapInArrow(_texts, schema)

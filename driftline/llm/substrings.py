@@ -173,7 +173,7 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return found.groupBy("doc_id", "text_key").agg(F.collect_list("pos").alias("places"))
 
 
-def _cut(window: int):
+def _cut(window: int, made: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
@@ -196,28 +196,30 @@ def _cut(window: int):
                 out.append((len(words), int(gone.sum()), spans, " ".join(text[slice(*words[i])] for i in stay), rest))
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])), pa.string(), pa.string()]
             cols = list(zip(*out)) or [()] * 5
-            made = [pa.array(c, k) for c, k in zip(cols, kinds)]
-            yield pa.RecordBatch.from_arrays([*b.columns[2:], *made], [*b.schema.names[2:], "n_words", "n_removed", "spans", "kept", "rest"])
+            arrays = [pa.array(c, k) for c, k in zip(cols, kinds)]
+            yield pa.RecordBatch.from_arrays([*b.columns[2:], *arrays], [*b.schema.names[2:], *made])
 
     return run
 
 
-CUT = "n_words bigint, n_removed bigint, spans array<struct<start bigint, length bigint>>, kept string, rest string"
+CUT = {
+    "n_words": "bigint", "n_removed": "bigint", "spans": "array<struct<start bigint, length bigint>>", "kept": "string", "rest": "string",
+}
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, prefix: str = "") -> DataFrame:
     """All rows and columns with n_words, n_removed, the removed spans (in words), and what is left of the text.
 
-    ``kept`` has the kept words with one space between, ``rest`` the text without the removed words. Columns of the
+    The new names start with ``prefix``. ``kept`` has the kept words with one space between, ``rest`` the text without the removed words. Columns of the
     input with one of these names are replaced.
     """
-    made = {"n_words", "n_removed", "spans", "kept", "rest"}
-    names = [c for c in docs.columns if c.lower() not in made]
-    key, places = fresh(docs, "_text_key"), fresh(docs, "_places")
-    spans = duplicate_windows(docs, window).select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("places").alias(places))
+    made = {f"{prefix}{c}": kind for c, kind in CUT.items()}
+    names = [c for c in docs.columns if c.lower() not in {m.lower() for m in made}]
+    key, doc, same, places = (fresh(docs, c) for c in ("_text_key", "_span_doc", "_span_key", "_places"))
+    spans = duplicate_windows(docs, window).select(F.col("doc_id").alias(doc), F.col("text_key").alias(same), F.col("places").alias(places))
     spans = settled(spans, "repeat-places")
     rows = docs.withColumn(key, F.xxhash64("text"))
-    rows = rows.join(spans, (F.col("doc_id") == F.col("_doc")) & (F.col(key) == F.col("_key")), "left")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
-    fed = rows.select(F.col("text").alias("_1"), F.col(places).alias("_2"), *[F.col(c) for c in names])
-    return fed.mapInArrow(_cut(window), f"{schema}, {CUT}")
+    rows = rows.join(spans, (F.col("doc_id") == F.col(doc)) & (F.col(key) == F.col(same)), "left")
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema] + [f"`{c}` {kind}" for c, kind in made.items()])
+    fed = rows.select(F.col("text").alias(fresh(rows, "_body")), F.col(places), *[F.col(c) for c in names])
+    return fed.mapInArrow(_cut(window, list(made)), schema)
