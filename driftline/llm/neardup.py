@@ -14,8 +14,8 @@ linked through verified links, ruled out by a bound, or verified itself, and gro
 into all pairs.
 
 Components come from rounds of minimum labels with pointer jumping, each written to the shared folder. Skewed groups:
-copies collapse by an aggregate that combines before its shuffle; joins on bands and labels are plain equi-joins with
-both sides by key, which adaptive execution splits.
+copies collapse by an aggregate that combines before its shuffle; joins on bands and labels are plain equi-joins, which
+adaptive execution splits; tables written and counted before are broadcast if their rows are few.
 
 Defined cases: a null text counts as empty; texts without words are near duplicates of equal texts only; a null doc_id
 takes part with its text and is named by the class of that text, whose id is the smallest doc_id in it, or null if it
@@ -192,9 +192,10 @@ def components(links: DataFrame) -> DataFrame:
     both = settled(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-both")
     labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "near-labels")
     while True:
+        labels = small_side(labels)
         over = labels.select(F.col("node").alias("b"), "label")
         least = both.join(over, "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("next"))
-        step = labels.join(least, "node").select("node", "label", F.least("label", "next").alias("next"))
+        step = least.join(labels, "node").select("node", "label", F.least("label", "next").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
         step = settled(step.join(jump, "next", "left").select("node", "label", F.least("next", "far").alias("next")), "near-labels")
         moved = step.where("next < label").limit(1).count()
@@ -248,7 +249,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, rounds: int
     members = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("key"))
     heads = members.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     members = settled(members.join(heads, "key"), "near-members")
-    heads = settled(members.select("key", "head").distinct(), "near-heads")
+    heads = small_side(settled(members.select("key", "head").distinct(), "near-heads"))
     members = members.select("key", "node")
     # one row for each text that is compared
     wanted = small_side(settled(members.select("node").distinct(), "near-wanted"))
@@ -266,18 +267,19 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, rounds: int
         strays = settled(placed.where(F.col("label") != F.coalesce("head_label", "head")).select("key", "node", "head"), f"near-strays-{k}")
         if k == rounds or not strays.limit(1).count():
             break
-        pairs = strays.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = small_side(settled(strays.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), f"near-pairs-{k}"))
         found = settled(verified(pairs, texts, shared, similarity), f"near-links-{k}")
         links = found if links is None else links.union(found)
-        labels = components(links)
+        labels = small_side(components(links))
         degrees = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
-        ranked = members.join(strays.select("key").distinct(), "key").join(degrees, "node", "left")
+        degrees = small_side(settled(degrees, f"near-degrees-{k}"))
+        ranked = members.join(small_side(strays).select("key"), "key", "left_semi").join(degrees, "node", "left")
         heads = ranked.groupBy("key").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "node")).alias("best"))
-        heads = settled(heads.select("key", F.col("best.node").alias("head")), f"near-heads-{k}")
+        heads = small_side(settled(heads.select("key", F.col("best.node").alias("head")), f"near-heads-{k}"))
 
     if strays.limit(1).count():
         apart = strays.select("node").distinct()
-        around = members.join(strays.select("key").distinct(), "key", "left_semi").select("node").distinct()
+        around = members.join(small_side(strays).select("key"), "key", "left_semi").select("node").distinct()
         around = settled(labelled(around, labels).join(apart.withColumn("stray", F.lit(True)), "node", "left"), "near-around")
         lead = leading_shingles(texts.join(small_side(around.select("node")), "node"), shared, similarity)
         lead = settled(lead.join(small_side(around), "node"), "near-leading")
@@ -286,9 +288,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, rounds: int
         enough = similarity / (1 + similarity) * (1 - 1e-6) * (F.col("w_a") + F.col("w_b"))
         more = one.join(two, "shingle").where((F.col("l_a") != F.col("l_b")) & (F.least("r_a", "r_b") >= enough))
         more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        more = small_side(settled(more, "near-pairs"))
         more = settled(verified(more, texts, shared, similarity), "near-more")
         if more.limit(1).count():
-            labels = components(more if links is None else links.union(more))
+            labels = small_side(components(more if links is None else links.union(more)))
 
     classes = nodes.select("node", "first").join(labels, "node", "left").select("node", "first", F.coalesce("label", "node").alias("class_node"))
     classes = settled(classes, "near-classes")
