@@ -1,11 +1,13 @@
 """Main text of web pages: subtrees that recur across a host's pages go, then page furniture by its markup.
 
-First pass: every element outside the running text of an article is hashed with its whole subtree, and Spark counts
-on how many pages of its host each hash occurs. Second pass: subtrees whose hash recurs on ``min_pages`` pages and
-``min_share`` of the host's pages are deleted, then what is marked up as furniture (menus, headers, footers, asides,
-forms, scripts, adverts, notices, reader comments: by tag, role, class or id), since furniture that occurs once
-recurs nowhere. Bare text blocks right inside an article (paragraphs, headings, lists, quotes, tables) are never
-template candidates: a passage that many articles quote stays.
+First pass: every element outside running text is hashed with its whole subtree, and Spark counts on how many pages
+of its host with different texts each hash occurs: copies of a page count once. Second pass: subtrees whose hash recurs
+on ``min_pages`` pages and ``min_share`` of the host's pages are deleted, then what is marked up as furniture (menus,
+headers, footers, asides, forms, scripts, adverts, notices, reader comments: by tag, role, class or id), since furniture
+that occurs once recurs nowhere. Text blocks of an article or main element (paragraphs, headings, lists, quotes,
+tables), also those in its divisions and sections, are never template candidates: a passage that many articles quote
+stays. Nor is an element amid text, such as a link in a sentence. A subtree with most of the page's text stays, and if
+the deletions of a page would take ``NEAR`` of its text, it is a near copy of others and keeps all of it.
 
 Counting shuffles hashes only, combined before the shuffle, so a host with most pages is no hot key. The deletions of
 a page come back by a join on a hash of the row; Spark broadcasts that side only if its counted rows are few.
@@ -30,6 +32,7 @@ from driftline.llm.common import fresh, settled, small_side
 
 MIN_PAGES = 5
 MIN_SHARE = 0.01
+NEAR = 0.8  # share of its text that a near copy has in common with other pages
 
 # HTML's own element lists, fixed values
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,6 +58,9 @@ TEXT_BLOCKS = frozenset(
     "p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tfoot tr td th caption figure figcaption "
     "b i em strong a span u s small sub sup code kbd q cite abbr mark time br hr".split()
 )
+# elements that only lay out what they hold, and blocks of running text
+LAYOUT = frozenset("html body main article section div center".split())
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 # a start tag of the first kind closes an open element of the second, up to the third
 CLOSES_P = BLOCKS - {"body", "html", "dd", "dt", "li", "tr", "tbody", "thead", "tfoot", "caption"}
 SIBLINGS = {
@@ -168,30 +174,81 @@ def walk_up(root: Node) -> list[Node]:
     return order
 
 
-def subtree_hashes(root: Node, host: str) -> dict[int, Node]:
-    """64-bit hashes, salted by the host, of the subtrees that may be a template; element by element's identity."""
+def text_size(node: Node) -> int:
+    """Characters of text below a node, without white space, links and what never is text."""
+    size, stack = 0, [node]
+    while stack:
+        n = stack.pop()
+        if isinstance(n, str):
+            size += sum(map(len, n.split()))
+        elif n is node or n.tag != "a" and not is_furniture(n):
+            stack.extend(n.kids)
+    return size
+
+
+def running_text(roots: list[Node]) -> set[int]:
+    """Elements that are running text below the content roots, by identity; they are no templates of their own."""
+    out: set[int] = set()
+    stack = [(top, False) for top in roots]
+    while stack:
+        n, inside = stack.pop()
+        amid = any(isinstance(k, str) and not k.isspace() for k in n.kids)
+        for k in n.kids:
+            if isinstance(k, str) or is_furniture(k):
+                continue
+            if inside or amid and k.tag not in BLOCKS:
+                out.add(id(k))
+                stack.append((k, True))
+            elif k.tag in LAYOUT:
+                stack.append((k, False))
+            elif roots[0].tag != "#root" and k.tag in TEXT_BLOCKS:
+                out.add(id(k))
+                stack.append((k, True))
+            else:
+                stack.append((k, k.tag in RUNNING))
+    return out
+
+
+def subtree_hashes(root: Node, host: str) -> dict[int, int]:
+    """64-bit hashes, salted by the host, of the subtrees that may be a template; by element's identity."""
     order = walk_up(root)
-    whole = {id(root)} | {id(n) for n in order if n.tag in ("html", "head", "body", "main", "article")}
     roots = content_roots(root)
-    plain: set[int] = set()  # articles, and the bare text blocks in them
-    for n in order:
-        if n.tag == "article" and n in roots or id(n.parent) in plain and n.tag in TEXT_BLOCKS and not is_furniture(n):
-            plain.add(id(n))
+    spared = running_text(roots) | {id(n) for n in order if n.tag in ("#root", "html", "head", "body", "main", "article")}
+    for n in roots:
+        while n is not None:  # what holds the content is none either
+            spared.add(id(n))
+            n = n.parent
     digest: dict[int, bytes] = {}
     out: dict[int, int] = {}
     for n in reversed(order):
-        if id(n) in plain:
-            digest[id(n)] = b""
-            continue
         h = hashlib.blake2b(f"{host}\0{n.tag}\0{n.attrs.strip()}\0".encode("utf-8", "replace"), digest_size=8)
         for k in n.kids:
             h.update(digest[id(k)] if isinstance(k, Node) else " ".join(k.split()).encode("utf-8", "replace"))
         digest[id(n)] = h.digest()
-        if id(n) not in whole:
+        if id(n) not in spared:
             out[id(n)] = int.from_bytes(h.digest(), "little", signed=True)
     return out
 
 
+def dropped(root: Node, host: str, lost: set[int]) -> set[int]:
+    """The elements to delete, by identity, of those whose hash recurs."""
+    recur = {k for k, h in subtree_hashes(root, host).items() if h in lost}
+    roots = content_roots(root)
+    total, taken = sum(map(text_size, roots)), 0
+    out: set[int] = set()
+    stack = list(roots)
+    while stack:
+        n = stack.pop()
+        if id(n) not in recur:
+            stack.extend(k for k in n.kids if isinstance(k, Node) and not is_furniture(k))
+            continue
+        size = text_size(n)
+        if 2 * size <= total:
+            out.add(id(n))
+            taken += size
+    return out if taken < NEAR * total or not total else set()
+
+
 def text_blocks(root: Node, drop: set[int]) -> list[str]:
     """Texts of the blocks below the content roots, without the dropped elements and furniture."""
     blocks: list[str] = []
@@ -233,14 +290,18 @@ def host_of(url: str | None) -> str:
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows, hosts, hashes = [], [], []
+        rows, hosts, hashes, contents = [], [], [], []
         for row, url, source in zip(*(b.column(i).to_pylist() for i in range(3))):
             host = host_of(url)
-            found = set(subtree_hashes(parse(source or ""), host).values())
+            root = parse(source or "")
+            found = set(subtree_hashes(root, host).values())
+            content = hashlib.blake2b("\n".join(text_blocks(root, set())).encode("utf-8", "replace"), digest_size=8)
             rows += [row] * (len(found) + 1)
             hosts += [host] * (len(found) + 1)
             hashes += [*found, None]  # the last stands for the page itself
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], ["row", "host", "hash"])
+            contents += [int.from_bytes(content.digest(), "little", signed=True)] * (len(found) + 1)
+        arrays = [pa.array(rows, pa.int64()), pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(contents, pa.int64())]
+        yield pa.RecordBatch.from_arrays(arrays, ["row", "host", "hash", "content"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,16 +311,15 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             root = parse(source or "")
             drop: set[int] = set()
             if gone:
-                lost = set(gone)
-                drop = {k for k, h in subtree_hashes(root, host_of(url)).items() if h in lost}
+                drop = dropped(root, host_of(url), set(gone))
             out.append("\n".join(text_blocks(root, drop)))
         arrays = [b.column(i) for i in range(3, b.num_columns)]
         yield pa.RecordBatch.from_arrays([*arrays, pa.array(out, pa.string())], [*b.schema.names[3:], "text"])
 
 
 def templates(hashed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, hash) of the subtrees that recur on many pages of their host."""
-    counts = hashed.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
+    """(host, hash) of the subtrees that recur on many pages of their host; pages of the same text count once."""
+    counts = hashed.select("host", "hash", "content").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
     counts = settled(counts.where(f"hash IS NULL OR n >= {int(min_pages)}"), "html-counts")
     hosts = counts.where("hash IS NULL").select("host", F.col("n").alias("pages"))
     return counts.where("hash IS NOT NULL").join(small_side(hosts), "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "hash")
@@ -269,7 +329,7 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float
     """Add the column ``text`` (replacing one of that name) to pages with the columns url and html."""
     row, gone = fresh(pages, "_row"), fresh(pages, "_gone")
     keyed = pages.withColumn(row, F.xxhash64("url", "html", F.sha1(F.coalesce("html", F.lit("")))))
-    hashed = settled(keyed.select(F.col(row).alias("row"), "url", "html").mapInArrow(_hashes, "row bigint, host string, hash bigint"), "html-hashes")
+    hashed = settled(keyed.select(F.col(row).alias("row"), "url", "html").mapInArrow(_hashes, "row bigint, host string, hash bigint, content bigint"), "html-hashes")
     known = small_side(settled(templates(hashed, min_pages, min_share), "html-templates"))
     lost = hashed.where("hash IS NOT NULL").join(known, ["host", "hash"])
     lost = small_side(settled(lost.groupBy(F.col("row").alias(row)).agg(F.collect_set("hash").alias(gone)), "html-lost"))
