@@ -4,7 +4,8 @@ First pass: every element outside running text is hashed with its whole subtree,
 of its host with different texts each hash occurs: copies of a page count once. Second pass: subtrees whose hash recurs
 on ``min_pages`` pages and ``min_share`` of the host's pages are deleted, then what is marked up as furniture (menus,
 headers, footers, asides, forms, scripts, adverts, notices, reader comments: by tag, role, class or id), since furniture
-that occurs once recurs nowhere. Text blocks of an article or main element (paragraphs, headings, lists, quotes,
+that occurs once recurs nowhere. Names count on containers that do not hold most of the text, never on headings,
+paragraphs or elements in a line. Text blocks of an article or main element (paragraphs, headings, lists, quotes,
 tables), also those in its divisions and sections, are never template candidates: a passage that many articles quote
 stays. Nor is an element amid text, such as a link in a sentence. A subtree with most of the page's text stays, and if
 the deletions of a page would take ``NEAR`` of its text, it is a near copy of others and keeps all of it.
@@ -39,8 +40,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 FURNITURE_TAGS = frozenset(
     "nav header footer aside form script style noscript template iframe svg canvas object button select input textarea "
-    "label dialog head title menu fieldset math audio video".split()
+    "dialog head title menu fieldset audio video".split()
 )
+WRAPPERS = frozenset("form fieldset".split())  # furniture, unless they hold the content
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 FURNITURE_NAMES = frozenset(
     "ad ads advert adverts advertisement adsense adslot sponsor sponsored sponsors promo promotion banner cookie cookies "
@@ -49,6 +51,9 @@ FURNITURE_NAMES = frozenset(
     "reply replies share sharing social related recommended recommendations widget widgets toolbar pagination pager "
     "login search".split()
 )
+NAMED = frozenset("div section article ul ol dl li table center details figure".split())  # elements whose names count
+PLACES = frozenset("site page main top global left right".split())
+STATES = frozenset("open closed free none off on enabled disabled".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody tfoot thead tr ul "
@@ -138,30 +143,69 @@ def attributes(node: Node) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(node.attrs)} if node.attrs.strip(" /") else {}
 
 
-def is_furniture(node: Node) -> bool:
-    if node.tag in FURNITURE_TAGS:
-        return True
+def is_furniture_name(name: str) -> bool:
+    """A furniture name, alone, as the leading word (cookie-banner) or after a place (site-footer); no states (comments-open)."""
+    words = [w for w in re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if w]
+    if not words or words[-1] in STATES:
+        return False
+    return words[0] in FURNITURE_NAMES or len(words) == 2 and words[0] in PLACES and words[1] in FURNITURE_NAMES
+
+
+def is_marked(node: Node) -> bool:
+    """Role, class or id say furniture: class names of containers, and ids as a whole, since ids also come from headings."""
     if node.tag in ("html", "body", "main", "#root") or not node.attrs:
         return False
     a = attributes(node)
     if a.get("role", "").lower() in FURNITURE_ROLES:
         return True
-    names = re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{a.get('class', '')} {a.get('id', '')}").lower())
-    return not FURNITURE_NAMES.isdisjoint(names)
+    return node.tag in NAMED and (a.get("id", "").lower() in FURNITURE_NAMES or any(map(is_furniture_name, a.get("class", "").split())))
+
+
+def text_size(node: Node) -> int:
+    """Characters of text below a node, without white space, links and what never is text."""
+    size, stack = 0, [node]
+    while stack:
+        n = stack.pop()
+        if isinstance(n, str):
+            size += sum(map(len, n.split()))
+        elif n is node or n.tag != "a" and (n.tag not in FURNITURE_TAGS or n.tag in WRAPPERS):
+            stack.extend(n.kids)
+    return size
+
+
+class Furniture:
+    """Tells furniture below the given elements; none is what they are themselves, or what holds most of their text."""
+
+    def __init__(self, tops: list[Node]):
+        self.tops, self.total = tops, -1
+
+    def __call__(self, node: Node) -> bool:
+        if node.tag in FURNITURE_TAGS and node.tag not in WRAPPERS:
+            return True
+        if node.tag not in WRAPPERS and not is_marked(node):
+            return False
+        if any(node is t for t in self.tops):
+            return False
+        if self.total < 0:
+            self.total = sum(map(text_size, self.tops))
+        return 2 * text_size(node) <= self.total
 
 
 def content_roots(root: Node) -> list[Node]:
-    """The outermost articles outside furniture; else the main element; else the whole page."""
-    for wanted in (lambda n: n.tag == "article", lambda n: n.tag == "main" or 'role="main"' in n.attrs):
-        found, stack = [], [root]
-        while stack:
-            n = stack.pop()
-            if wanted(n) and not is_furniture(n):
-                found.append(n)
-            elif not is_furniture(n):
-                stack.extend(k for k in reversed(n.kids) if isinstance(k, Node))
-        if found:
-            return found
+    """The outermost articles outside furniture; else the main element; else those inside what holds most text; else the whole page."""
+    for furniture in (lambda n: n.tag in FURNITURE_TAGS or is_marked(n), Furniture([root])):
+        for wanted in (lambda n: n.tag == "article", lambda n: n.tag == "main" or 'role="main"' in n.attrs):
+            found, stack = [], [root]
+            while stack:
+                n = stack.pop()
+                if furniture(n):
+                    continue
+                if wanted(n):
+                    found.append(n)
+                else:
+                    stack.extend(k for k in reversed(n.kids) if isinstance(k, Node))
+            if found:
+                return found
     return [root]
 
 
@@ -174,27 +218,16 @@ def walk_up(root: Node) -> list[Node]:
     return order
 
 
-def text_size(node: Node) -> int:
-    """Characters of text below a node, without white space, links and what never is text."""
-    size, stack = 0, [node]
-    while stack:
-        n = stack.pop()
-        if isinstance(n, str):
-            size += sum(map(len, n.split()))
-        elif n is node or n.tag != "a" and not is_furniture(n):
-            stack.extend(n.kids)
-    return size
-
-
 def running_text(roots: list[Node]) -> set[int]:
     """Elements that are running text below the content roots, by identity; they are no templates of their own."""
     out: set[int] = set()
+    furniture = Furniture(roots)
     stack = [(top, False) for top in roots]
     while stack:
         n, inside = stack.pop()
         amid = any(isinstance(k, str) and not k.isspace() for k in n.kids)
         for k in n.kids:
-            if isinstance(k, str) or is_furniture(k):
+            if isinstance(k, str) or furniture(k):
                 continue
             if inside or amid and k.tag not in BLOCKS:
                 out.add(id(k))
@@ -234,13 +267,13 @@ def dropped(root: Node, host: str, lost: set[int]) -> set[int]:
     """The elements to delete, by identity, of those whose hash recurs."""
     recur = {k for k, h in subtree_hashes(root, host).items() if h in lost}
     roots = content_roots(root)
-    total, taken = sum(map(text_size, roots)), 0
+    furniture, total, taken = Furniture(roots), sum(map(text_size, roots)), 0
     out: set[int] = set()
     stack = list(roots)
     while stack:
         n = stack.pop()
         if id(n) not in recur:
-            stack.extend(k for k in n.kids if isinstance(k, Node) and not is_furniture(k))
+            stack.extend(k for k in n.kids if isinstance(k, Node) and not furniture(k))
             continue
         size = text_size(n)
         if 2 * size <= total:
@@ -261,7 +294,9 @@ def text_blocks(root: Node, drop: set[int]) -> list[str]:
                 blocks.append(joined)
             now.clear()
 
-    for top in content_roots(root):
+    roots = content_roots(root)
+    furniture = Furniture(roots)
+    for top in roots:
         stack: list = [top]
         while stack:
             n = stack.pop()
@@ -269,7 +304,7 @@ def text_blocks(root: Node, drop: set[int]) -> list[str]:
                 cut()
             elif isinstance(n, str):
                 now.append(n)
-            elif id(n) in drop or is_furniture(n):
+            elif id(n) in drop or furniture(n):
                 cut() if n.tag in BLOCKS else now.append(" ")
             elif n.tag in BLOCKS:
                 cut()
