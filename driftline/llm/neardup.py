@@ -1,9 +1,11 @@
 """Near-duplicate classes: consistent weighted samples of TF-IDF shingles, banded, verified by weighted Jaccard.
 
 A text is the weighted set of its five-word shingles (of all its words, if it has fewer). A shingle weighs its count in
-the text times a smooth inverse document frequency between 1 and 2, read from a counting table of fixed size that
-covers every document. Improved consistent weighted sampling draws ``ROWS * BANDS`` samples of each set: two sets agree in
-a sample with the probability of their weighted Jaccard similarity. Sets that agree in a whole band are candidates.
+the text times a smooth inverse document frequency between 1 and 2. Improved consistent weighted sampling draws
+``ROWS * BANDS`` samples of each set: two sets agree in a sample with the probability of their weighted Jaccard similarity.
+Sets that agree in a whole band are candidates. Samples take the frequencies from a counting table of fixed size that
+covers every document, whose slots are shared by more shingles the larger the corpus; every similarity and bound is
+computed with exact frequencies, counted over all documents for the shingles of the candidates.
 
 Only different texts are compared; equal ones share a node from the start. A band's members are verified against one
 of them, its head; components of the verified links follow. In the next rounds the head is the member with most links,
@@ -35,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.llm.common import SHINGLE, WordHashes, fresh, grams, mix, settled, small_side
+from driftline.llm.substrings import bit_filter
 
 SIMILARITY = 0.8
 ROWS, BANDS = 5, 16
@@ -42,6 +45,7 @@ SLOTS = 1 << 20  # counters of the document frequencies
 PIECE = 1 << 14
 DRAWS = 1 << 13  # rows of random draws; shingles are dealt to them by hash
 CHUNK = 1024
+BLOCK = 1 << 20  # shingles counted at once
 ROUNDS = 3  # heads tried per band before the exact filter takes the rest
 WORD = re.compile(r"\w+")
 
@@ -52,12 +56,17 @@ def shingles_of(text: str, known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(grams(h, min(SHINGLE, max(1, len(h)))), return_counts=True)
 
 
+def idf_of(counts: np.ndarray, documents: int) -> np.ndarray:
+    """Frequent shingles weigh less, at least 1 and less than 2."""
+    n = max(1, documents)
+    return (1 + np.log((1 + n) / (1 + np.minimum(counts, n))) / np.log(2 + n)).astype(np.float32)
+
+
 class Frequencies:
-    """Document frequencies by slot; frequent shingles weigh less, at least 1 and less than 2."""
+    """Document frequencies by slot."""
 
     def __init__(self, counts: np.ndarray, documents: int):
-        n = max(1, documents)
-        self.idf = (1 + np.log((1 + n) / (1 + np.minimum(counts, n))) / np.log(2 + n)).astype(np.float32)
+        self.idf = idf_of(counts, documents)
 
     def of(self, shingles: np.ndarray) -> np.ndarray:
         return self.idf[(shingles >> np.uint64(40)) & np.uint64(SLOTS - 1)]
@@ -157,36 +166,109 @@ def signatures(docs: DataFrame, shared) -> DataFrame:
     return docs.select("doc_id", node_of(F.col("text")).alias("node"), "text").mapInArrow(run, f"doc_id {kind}, node binary, bands array<bigint>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, shared, similarity: float) -> DataFrame:
+def _sums(shingles: np.ndarray, n: int) -> pa.RecordBatch:
+    found, times = np.unique(shingles, return_counts=True) if n else (np.empty(0, np.uint64), np.empty(0, np.int64))
+    return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times.astype(np.int64))], ["anchor", "n"])
+
+
+def _occurrences(shared=None):
+    """Shingles with the number of documents of a block they occur in; those without a bit in the filter are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        bits = None if shared is None else np.frombuffer(shared.value, np.uint8)
+        held: list[np.ndarray] = []
+        size = 0
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                s = shingles_of(text or "", known)[0]
+                if bits is not None:
+                    slot = (s & np.uint64(len(bits) * 8 - 1)).astype(np.int64)
+                    s = s[(bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)]
+                held.append(s)
+                size += len(s)
+                if size >= BLOCK:
+                    yield _sums(np.concatenate(held), size)
+                    held, size = [], 0
+        if size:
+            yield _sums(np.concatenate(held), size)
+
+    return run
+
+
+def exact_frequencies(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(shingle, df): in how many documents the shingles of the texts occur, if in more than one.
+
+    A filter of bounded size keeps most other shingles out of the shuffle; a false bit only counts a shingle nobody asks for.
+    """
+    schema = "anchor bigint, n bigint"
+    wanted = settled(texts.select("text").mapInArrow(_occurrences(), schema).select("anchor").distinct(), "near-wanted-shingles")
+    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(wanted).tobytes())
+    counts = docs.select("text").mapInArrow(_occurrences(shared), schema).groupBy(F.col("anchor").alias("shingle")).agg(F.sum("n").alias("df"))
+    return settled(counts.where("df > 1"), "near-frequencies")
+
+
+def with_frequencies(texts: DataFrame, counts: DataFrame) -> DataFrame:
+    """Add ``held`` to the texts: places of their shingles, in ascending order, and frequencies; those left out occur once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for b in batches:
+            for i, text in enumerate(b.column(1).to_pylist()):
+                s = shingles_of(text, known)[0]
+                nodes = b.column(0).take(pa.array(np.full(len(s), i)))
+                yield pa.RecordBatch.from_arrays([nodes, pa.array(np.arange(len(s), dtype=np.int32)), pa.array(s.view(np.int64))], ["node", "place", "shingle"])
+
+    places = texts.select("node", "text").mapInArrow(run, "node binary, place int, shingle bigint")
+    held = places.join(small_side(counts), "shingle").groupBy("node").agg(F.collect_list(F.struct("place", "df")).alias("held"))
+    return texts.join(held, "node", "left").select("node", "text", "held")
+
+
+def weighted_set(text: str, held: pa.Scalar, documents: int, known: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of a text, their counts and exact inverse document frequencies."""
+    s, n = shingles_of(text, known)
+    df = np.ones(len(s), np.int64)
+    if held.is_valid:
+        df[held.values.field("place").to_numpy()] = held.values.field("df").to_numpy()
+    return s, n, idf_of(df, documents)
+
+
+def verified(pairs: DataFrame, texts: DataFrame, documents: int, similarity: float) -> DataFrame:
     """The pairs (a, b) whose texts reach the weighted Jaccard similarity, each text once per shuffle."""
-    a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.select("a", "b").join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
+    a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.col("held").alias("held_a"))
+    b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"), F.col("held").alias("held_b"))
+    rows = pairs.select("a", "b").join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b", "held_a", "held_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, freq = WordHashes(), _read(shared)
-        last, held = None, None
+        known = WordHashes()
+        last, one = None, None
         for batch in batches:
-            nodes, others, ones, twos = (batch.column(i) for i in range(4))
+            nodes, others, ones, twos, held_one, held_two = (batch.column(i) for i in range(6))
             keep = []
             for i, node in enumerate(nodes.to_pylist()):
                 if node != last:
-                    last, held = node, shingles_of(ones[i].as_py(), known)
-                keep.append(weighted_jaccard(held, shingles_of(twos[i].as_py(), known), freq) >= similarity)
+                    last, one = node, weighted_set(ones[i].as_py(), held_one[i], documents, known)
+                two = weighted_set(twos[i].as_py(), held_two[i], documents, known)
+                keep.append(similarity_of(one, two) >= similarity)
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([nodes.filter(mask), others.filter(mask)], ["a", "b"])
 
     return rows.mapInArrow(run, "a binary, b binary")
 
 
-def weighted_jaccard(one: tuple, two: tuple, freq: Frequencies) -> float:
-    (s, n), (t, m) = one, two
+def similarity_of(one: tuple, two: tuple) -> float:
+    """Weighted Jaccard similarity of two sets of (shingles, counts, inverse document frequencies)."""
+    (s, n, v), (t, m, w) = one, two
     both, i, j = np.intersect1d(s, t, assume_unique=True, return_indices=True)
-    low = float((np.minimum(n[i], m[j]) * freq.of(both)).sum(dtype=np.float64))
-    total = float((n * freq.of(s)).sum(dtype=np.float64)) + float((m * freq.of(t)).sum(dtype=np.float64))
+    low = float((np.minimum(n[i], m[j]) * v[i]).sum(dtype=np.float64))
+    total = float((n * v).sum(dtype=np.float64)) + float((m * w).sum(dtype=np.float64))
     return low / (total - low) if total > low else 1.0
 
 
+def weighted_jaccard(one: tuple, two: tuple, freq: Frequencies) -> float:
+    return similarity_of((*one, freq.of(one[0])), (*two, freq.of(two[0])))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of the linked nodes: the smallest node of each component, by labels and pointer jumping."""
     both = settled(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-both")
@@ -204,7 +286,7 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def leading_shingles(texts: DataFrame, shared, similarity: float) -> DataFrame:
+def leading_shingles(texts: DataFrame, documents: int, similarity: float) -> DataFrame:
     """(node, weight, shingle, rest): shingles by which a text must meet any text at the similarity.
 
     Shingles go by falling idf, then hash; ``rest`` is the weight from the shingle on. Two sets x and y at similarity t
@@ -213,12 +295,11 @@ def leading_shingles(texts: DataFrame, shared, similarity: float) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, freq = WordHashes(), _read(shared)
+        known = WordHashes()
         for b in batches:
             rows, weights, found, rests = [], [], [], []
             for i, text in enumerate(b.column(1).to_pylist()):
-                s, n = shingles_of(text, known)
-                idf = freq.of(s)
+                s, n, idf = weighted_set(text, b.column(2)[i], documents, known)
                 order = np.lexsort((s, -idf))
                 w = (n * idf.astype(np.float64))[order]
                 rest = np.cumsum(w[::-1])[::-1]
@@ -231,7 +312,7 @@ def leading_shingles(texts: DataFrame, shared, similarity: float) -> DataFrame:
             cols = [np.concatenate(c) if c else np.empty(0) for c in (weights, found, rests)]
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array(cols[0]), pa.array(cols[1].astype(np.uint64).view(np.int64)), pa.array(cols[2])], ["node", "weight", "shingle", "rest"])
 
-    return texts.select("node", "text").mapInArrow(run, "node binary, weight double, shingle bigint, rest double")
+    return texts.select("node", "text", "held").mapInArrow(run, "node binary, weight double, shingle bigint, rest double")
 
 
 def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -241,7 +322,8 @@ def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, node, class_id, class_node) of every row: ``class_node`` tells classes apart, also those without an id."""
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast(document_frequencies(docs))
+    table, documents = document_frequencies(docs)
+    shared = sc.broadcast((table, documents))
     rows = settled(signatures(docs, shared), "near-rows")
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
     nodes = settled(nodes, "near-nodes")
@@ -257,6 +339,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, rounds: int
     texts = docs.select("doc_id", node_of(F.col("text")).alias("node"), F.coalesce("text", F.lit("")).alias("text")).alias("d")
     texts = texts.join(named.alias("n"), (F.col("d.node") == F.col("n.node")) & F.col("d.doc_id").eqNullSafe(F.col("n.first")), "left_semi")
     texts = settled(texts.dropDuplicates(["node"]).select("node", "text"), "near-texts")
+    texts = settled(with_frequencies(texts, exact_frequencies(docs, texts)), "near-weighed")
 
     none = heads.sparkSession.createDataFrame([], "node binary, label binary")
     links, labels = None, none
@@ -268,7 +351,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, rounds: int
         if k == rounds or not strays.limit(1).count():
             break
         pairs = small_side(settled(strays.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), f"near-pairs-{k}"))
-        found = settled(verified(pairs, texts, shared, similarity), f"near-links-{k}")
+        found = settled(verified(pairs, texts, documents, similarity), f"near-links-{k}")
         links = found if links is None else links.union(found)
         labels = small_side(components(links))
         degrees = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
@@ -281,7 +364,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, rounds: int
         apart = strays.select("node").distinct()
         around = members.join(small_side(strays).select("key"), "key", "left_semi").select("node").distinct()
         around = settled(labelled(around, labels).join(apart.withColumn("stray", F.lit(True)), "node", "left"), "near-around")
-        lead = leading_shingles(texts.join(small_side(around.select("node")), "node"), shared, similarity)
+        lead = leading_shingles(texts.join(small_side(around.select("node")), "node"), documents, similarity)
         lead = settled(lead.join(small_side(around), "node"), "near-leading")
         one = lead.where("stray").select("shingle", F.col("node").alias("a"), F.col("weight").alias("w_a"), F.col("rest").alias("r_a"), F.col("label").alias("l_a"))
         two = lead.select("shingle", F.col("node").alias("b"), F.col("weight").alias("w_b"), F.col("rest").alias("r_b"), F.col("label").alias("l_b"))
@@ -289,7 +372,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, rounds: int
         more = one.join(two, "shingle").where((F.col("l_a") != F.col("l_b")) & (F.least("r_a", "r_b") >= enough))
         more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         more = small_side(settled(more, "near-pairs"))
-        more = settled(verified(more, texts, shared, similarity), "near-more")
+        more = settled(verified(more, texts, documents, similarity), "near-more")
         if more.limit(1).count():
             labels = small_side(components(more if links is None else links.union(more)))
 

@@ -74,3 +74,38 @@ def test_samples_agree_as_often_as_the_sets_are_similar():
     a, b = sampler.bands(one, w[:360]), sampler.bands(two, w[40:])
     hits = (a == b).sum()
     assert hits >= 1 and (sampler.bands(one, w[:360]) == a).all()
+
+
+def test_similarities_take_true_frequencies(corpus):
+    """More shingles than slots: the table counts each far too often."""
+    rng = random.Random(5)
+    fill = [" ".join(f"v{rng.randrange(10**9)}" for _ in range(20_000)) for _ in range(120)]
+    common = [f"line{i}" for i in range(60)]
+    rows = []
+    for k in range(120):
+        own = [f"p{k}x{i}" for i in range(6 + k // 4)]
+        rows += [" ".join(common + own), " ".join(common + own[:-6] + [f"q{k}x{i}" for i in range(6)])]
+    rows += [" ".join(common + [f"z{i}y{j}" for j in range(60)]) for i in range(300)]
+    docs = dict(enumerate(rows))
+    everything = rows + fill
+    frame = corpus.createDataFrame([(i, t, "n", "c") for i, t in enumerate(everything)], SCHEMA).repartition(8)
+    known, df = WordHashes(), {}
+    for t in everything:
+        for s in neardup.shingles_of(t, known)[0].tolist():
+            df[s] = df.get(s, 0) + 1
+
+    class True_:
+        def of(self, shingles):
+            return neardup.idf_of(np.array([df[s] for s in shingles.tolist()]), len(everything))
+
+    table, n = neardup.document_frequencies(frame)
+    sets = {d: neardup.shingles_of(t, known) for d, t in docs.items()}
+    slots = neardup.Frequencies(np.frombuffer(table, np.int32), n)
+
+    def linked(freq):
+        return {k for k in range(120) if neardup.weighted_jaccard(sets[2 * k], sets[2 * k + 1], freq) >= 0.8}
+
+    want = linked(True_())
+    assert want != linked(slots)
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(frame).collect()}
+    assert {k for k in range(120) if got[2 * k] == got[2 * k + 1]} == want
