@@ -10,7 +10,7 @@ from driftline.catalog.base import (
 )
 from driftline.catalog.features import wide_sql
 from driftline.operators import buckets
-from driftline.session import scratch_path, table
+from driftline.session import join_same, scratch_path, table
 from driftline.sources import files, payloads, sinks
 
 NTZ = "timestamp_ntz"
@@ -166,15 +166,26 @@ def refreshed_partition(spark, d):
     return spark.read.parquet(root).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
+PAGE_ROWS = 200  # rows of a payload, about
+
+
+def paged(df, keys, ids):
+    """Add ``page``: rows of a group are dealt by their ids to so many pages that each holds a bounded number."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    page = F.pmod(F.xxhash64(*ids), F.ceil(F.col("_n") / PAGE_ROWS))
+    return join_same(df, counts, keys).withColumn("page", page).drop("_n")
+
+
 @query(
     Shape("datetime", "", ((2, "fear_greed_index"),)),
     "FINAL SELECT date_trunc('second', ts) AS datetime, value AS fear_greed_index FROM events",
 )
 def index_payloads(spark, d):
-    """One payload per user with epoch seconds and values as text."""
+    """Payloads per user and day, in bounded pages, with epoch seconds and values as text."""
     seconds = F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
     item = F.struct(F.col("value").cast("string").alias("value"), seconds.alias("timestamp"))
-    docs = events(spark, d).groupBy("user_id", F.to_date("ts").alias("day")).agg(F.to_json(F.struct(F.collect_list(item).alias("data"))).alias("payload"))
+    rows = paged(events(spark, d).withColumn("day", F.to_date("ts")), ["user_id", "day"], ["event_id"])
+    docs = rows.groupBy("user_id", "day", "page").agg(F.to_json(F.struct(F.collect_list(item).alias("data"))).alias("payload"))
     return payloads.parse_index(docs).withColumn("datetime", F.col("datetime").cast(NTZ))
 
 
@@ -196,7 +207,7 @@ def kline_payloads(spark, d):
     """FINAL SELECT TIMESTAMP '2024-01-01' + INTERVAL (length(text)) MINUTE AS published_at, source, 'TECH' AS axis, length(text) AS n_chars FROM documents WHERE lang <> 'de'""",
 )
 def article_payloads(spark, d):
-    """News responses built from the documents; responses of one language report an error."""
+    """News responses built from the documents, in bounded pages; responses of one language report an error."""
     article = F.struct(
         F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss").alias("publishedAt"),
         F.col("title"),
@@ -204,9 +215,10 @@ def article_payloads(spark, d):
         F.struct(F.col("source").alias("name")).alias("source"),
     )
     status = F.when(F.col("title") == "de", "error").otherwise("ok").alias("status")
+    rows = articles(spark, d).withColumn("day", F.to_date("published_at"))
     docs = (
-        articles(spark, d)
-        .groupBy("title", "source", F.to_date("published_at").alias("day"))
+        paged(rows, ["title", "source", "day"], ["doc_id"])
+        .groupBy("title", "source", "day", "page")
         .agg(F.collect_list(article).alias("articles"))
         .select(F.to_json(F.struct(status, "articles")).alias("payload"), F.lit("TECH").alias("axis"))
     )

@@ -111,3 +111,25 @@ def test_sinks(spark, tmp_path):
     assert files.read_feature_dataset(spark, str(tmp_path / "no"), "price", "1h").count() == 0
     with pytest.raises(ValueError):
         files.read_feature_dataset(spark, store, "volume", "1h")
+
+
+def test_pages_of_payloads_are_bounded(spark):
+    from driftline.catalog.storage import PAGE_ROWS, paged
+
+    df = spark.range(20_000).selectExpr("id", "IF(id < 15000, NULL, id % 50) AS k")
+    out = paged(df, ["k"], ["id"])
+    sizes = [r["count"] for r in out.groupBy("k", "page").count().collect()]
+    assert out.columns == ["id", "k", "page"]
+    assert sum(sizes) == 20_000 and max(sizes) < 2 * PAGE_ROWS
+
+
+def test_articles_go_in_bounded_payloads(spark, monkeypatch):
+    from driftline.catalog import load, storage
+
+    seen = []
+    real = payloads.parse_articles
+    monkeypatch.setattr(storage, "PAGE_ROWS", 20)
+    monkeypatch.setattr(storage.payloads, "parse_articles", lambda df: seen.append(df) or real(df))
+    n = load()["article_payloads"].run(spark, "/root/testdata/sf0.1").count()
+    sizes = [r["n"] for r in seen[0].selectExpr("size(from_json(payload, 'struct<articles:array<struct<title:string>>>').articles) AS n").collect()]
+    assert n and max(sizes) < 60  # one group has 160 articles
