@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import decontaminate, encoding, html, licenses, neardup, quality, sharding, substrings, topk, warc
+from driftline.llm import alignment, decontaminate, encoding, html, licenses, neardup, quality, runs, sharding, substrings, topk, vectors, warc
 from driftline.llm.common import load
 from driftline.session import scratch_path
 
@@ -160,3 +160,71 @@ def op7_neardup(spark: SparkSession, folder: str) -> DataFrame:
     """The near-duplicate class of every document, named by its smallest doc_id."""
     found = neardup.near_duplicates(load(spark, folder, "documents"))
     return found.select("doc_id", "class_id")
+
+
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of two tokenizers aligned over the bytes of all documents, and how common their links are."""
+    a, b = encoding.read_model(BYTE_TOKENIZER), encoding.read_model(TOKENIZER)
+    found = alignment.align_tokens(load(spark, folder, "documents").select("doc_id", "text"), a, b)
+    scored = alignment.score_links(found, alignment.Tokenizers(a, b).vocabularies)
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query(
+    """WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+      xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295) AS h FROM documents),
+    k AS (SELECT *, CAST(len(w) AS BIGINT) AS n, h // 10 AS g FROM d),
+    t AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM k),
+    s AS (SELECT *, CAST(1 + (n - a) // (3 + g % 8) AS BIGINT) AS p FROM t),
+    x AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) END AS w FROM s),
+    u AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM x),
+    e AS (SELECT u.doc_id, u.i, v.i - u.i AS q FROM u JOIN u AS v ON u.doc_id = v.doc_id AND u.word = v.word AND v.i > u.i AND 4 * (v.i - u.i) <= u.n),
+    f AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS z FROM e),
+    c AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM f GROUP BY doc_id, q, z HAVING count(*) + q >= greatest(6, 4 * q)),
+    r AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c AS o WHERE o.doc_id = c.doc_id AND o.q < c.q AND o.start <= c.start AND o.start + o.length >= c.start + c.length)),
+    m AS (SELECT doc_id, count(*) AS n_runs, arg_max({'s': start, 'l': length, 'q': q}, {'l': length, 's': -start, 'q': -q}) AS b,
+        string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines FROM r GROUP BY doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM r),
+    l AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM u ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(b.s AS BIGINT) AS start, CAST(b.l AS BIGINT) AS length, CAST(b.q AS BIGINT) AS period,
+      CAST(1000 * b.l // b.q AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM x LEFT JOIN m USING (doc_id) LEFT JOIN l USING (doc_id)"""
+)
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in all documents, a tenth of which get a periodic tail first."""
+    docs = load(spark, folder, "documents").select("doc_id", runs.repeat_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    ranked = F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"), r["length"].alias("length")))
+    found = runs.find_runs(docs).withColumn("best", F.array_min(ranked))
+    line = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(line, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query(
+    """WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+      WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+    r AS (SELECT vec_id, vec_id AS seen FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.seen = l.a),
+    c AS (SELECT vec_id, min(seen) AS component_id FROM r GROUP BY vec_id),
+    n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+    SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings LEFT JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)"""
+)
+def op13_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Links, components and kept vectors among all embeddings."""
+    found = vectors.near_vectors(load(spark, folder, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
