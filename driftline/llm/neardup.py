@@ -9,11 +9,10 @@ computed with exact frequencies, counted over all documents for the shingles of
 
 Only different texts are compared; equal ones share a node from the start. A band's members are verified against one
 of them, its head; components of the verified links follow. In the next rounds the head is the member with most links,
-and only members of other components are compared with it. Members that stay apart from their last head are strays. They
-meet the members of the bands they were found in through an exact filter: of two sets at the threshold, ordered by rarity, the
-first shared shingle leaves enough weight behind it in both. Pairs that pass are verified. So every candidate pair is
-linked through verified links, ruled out by a bound, or verified itself, and groups of near copies are never expanded
-into all pairs.
+and only members of other components are compared with it. Members that stay apart from their last head are strays.
+Bands with strays are compared as a whole, in blocks of bounded size: a task multiplies two blocks' weighted sets as matrices
+and returns only the links that join up their members. So every candidate pair is linked through verified links or compared
+itself, and groups of near copies are never expanded into all pairs.
 
 Components come from rounds of minimum labels with pointer jumping, each written to the shared folder. Skewed groups:
 copies collapse by an aggregate that combines before its shuffle; joins on bands and labels are plain equi-joins, which
@@ -46,7 +45,9 @@ PIECE = 1 << 14
 DRAWS = 1 << 13  # rows of random draws; shingles are dealt to them by hash
 CHUNK = 1024
 BLOCK = 1 << 20  # shingles counted at once
-ROUNDS = 3  # heads tried per band before the exact filter takes the rest
+ROUNDS = 1  # heads tried per band before whole bands are compared
+TILE_ROWS = 256  # texts and items of a block, on average at most
+TILE_ITEMS = 1 << 20
 WORD = re.compile(r"\w+")
 
 
@@ -286,33 +287,103 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def leading_shingles(texts: DataFrame, documents: int, similarity: float) -> DataFrame:
-    """(node, weight, shingle, rest): shingles by which a text must meet any text at the similarity.
+def weighed(texts: DataFrame, documents: int) -> DataFrame:
+    """(node, items, weights): the weighted set of each text as a plain one, in which the k-th occurrence of a shingle is
+    an item of its own. Overlaps of weighted sets are then sums over common items."""
 
-    Shingles go by falling idf, then hash; ``rest`` is the weight from the shingle on. Two sets x and y at similarity t
-    overlap by at least t / (1 + t) * (weight(x) + weight(y)) >= t * weight(x), so their first common shingle has a rest of
-    that much in both.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for b in batches:
+            items, weights = [], []
+            for text, held in zip(b.column(1).to_pylist(), b.column(2)):
+                s, n, idf = weighted_set(text, held, documents, known)
+                turn = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                items.append(mix(np.repeat(s, n) + turn.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).tobytes())
+                weights.append(np.repeat(idf, n).astype(np.float32).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(items, pa.binary()), pa.array(weights, pa.binary())], ["node", "items", "weights"])
+
+    return texts.select("node", "text", "held").mapInArrow(run, "node binary, items binary, weights binary")
+
+
+def overlaps(items: list[np.ndarray], weights: list[np.ndarray]) -> np.ndarray:
+    """Weight that each two sets have in common."""
+    n = len(items)
+    flat, row = np.concatenate(items), np.repeat(np.arange(n), [len(x) for x in items])
+    found, first, place, times = np.unique(flat, return_index=True, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(times > 1)
+    column = np.full(len(found), -1, np.int64)
+    column[shared] = np.arange(len(shared))
+    weight = np.concatenate(weights)[first[shared]].astype(np.float64)
+    column = column[place]
+    row, column = row[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    total = np.zeros((n, n))
+    for k in range(0, len(shared), CHUNK):
+        lo, hi = np.searchsorted(column, [k, k + CHUNK])
+        held = np.zeros((n, min(CHUNK, len(shared) - k)))
+        held[row[lo:hi], column[lo:hi] - k] = 1
+        total += (held * weight[k : k + CHUNK]) @ held.T
+    return total
+
+
+def tile_links(rows: list[tuple[bytes, int, np.ndarray, np.ndarray]], similarity: float) -> list[tuple[bytes, bytes]]:
+    """Links that join up whatever reaches the similarity among (node, block, items, weights), one per member at most."""
+    low = overlaps([r[2] for r in rows], [r[3] for r in rows])
+    size = np.array([float(r[3].sum(dtype=np.float64)) for r in rows])
+    near = low >= similarity * (size[:, None] + size[None, :] - low)
+    block = np.array([r[1] for r in rows])
+    if block.min() != block.max():  # each block meets itself in a tile of its own
+        near &= block[:, None] != block[None, :]
+    label = np.arange(len(rows))
+    while True:
+        least = np.where(near, label[None, :], len(rows)).min(axis=1)
+        least = np.minimum(label, least)[np.minimum(label, least)]
+        if (least == label).all():
+            return [(rows[j][0], rows[i][0]) for i, j in enumerate(label) if i != j]
+        label = least
+
+
+def links_within(groups: DataFrame, texts: DataFrame, documents: int, similarity: float) -> DataFrame:
+    """(a, b): links that join up all texts of a group (key, node) that reach the similarity, directly or not.
+
+    Groups of equal members count once. A group is dealt to blocks of bounded size; two blocks at a time are compared in
+    a task, by matrix products over the items they share, and only the links that join up their members leave it.
     """
+    sets = settled(weighed(texts.join(small_side(groups.select("node").distinct()), "node"), documents), "near-weighted-sets")
+    sized = groups.join(small_side(sets.select("node", (F.octet_length("items") / 8).alias("size"))), "node")
+    h = F.xxhash64("node")
+    plan = sized.groupBy("key").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / TILE_ROWS), F.ceil(F.sum("size") / TILE_ITEMS)).cast("int").alias("blocks"),
+        F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).alias("one"), F.bit_xor(F.xxhash64(h)).alias("two"),
+    )
+    plan = settled(plan.groupBy("n", "one", "two").agg(F.min("key").alias("key"), F.min("blocks").alias("blocks")).where("n > 1"), "near-tiles")
+    block = F.pmod(h, F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = groups.join(small_side(plan.select("key", "blocks")), "key").select("key", "node", block.alias("block"), other.alias("other"))
+    tiles = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node").join(sets, "node")
+    by = ("key", "i", "j")
+    tiles = tiles.select(*by, "block", "node", "items", "weights").repartition(*by).sortWithinPartitions(*by)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        tile, held = None, []
+
+        def done() -> pa.RecordBatch:
+            links = tile_links(held, similarity) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["a", "b"])
+
         for b in batches:
-            rows, weights, found, rests = [], [], [], []
-            for i, text in enumerate(b.column(1).to_pylist()):
-                s, n, idf = weighted_set(text, b.column(2)[i], documents, known)
-                order = np.lexsort((s, -idf))
-                w = (n * idf.astype(np.float64))[order]
-                rest = np.cumsum(w[::-1])[::-1]
-                lead = rest >= similarity * (1 - 1e-6) * w.sum()
-                rows.append(np.full(lead.sum(), i))
-                weights.append(np.full(lead.sum(), w.sum()))
-                found.append(s[order][lead])
-                rests.append(rest[lead])
-            at = pa.array(np.concatenate(rows).astype(np.int64)) if rows else pa.array([], pa.int64())
-            cols = [np.concatenate(c) if c else np.empty(0) for c in (weights, found, rests)]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array(cols[0]), pa.array(cols[1].astype(np.uint64).view(np.int64)), pa.array(cols[2])], ["node", "weight", "shingle", "rest"])
-
-    return texts.select("node", "text", "held").mapInArrow(run, "node binary, weight double, shingle bigint, rest double")
+            names, own = list(zip(*(b.column(k).to_pylist() for k in range(3)))), [b.column(k).to_pylist() for k in range(3, 7)]
+            for name, block, node, items, weights in zip(names, *own):
+                if name != tile:
+                    if held:
+                        yield done()
+                    tile, held = name, []
+                held.append((node, block, np.frombuffer(items, np.uint64), np.frombuffer(weights, np.float32)))
+        if held:
+            yield done()
+
+    return tiles.mapInArrow(run, "a binary, b binary")
 
 
 def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -361,18 +432,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, rounds: int
         heads = small_side(settled(heads.select("key", F.col("best.node").alias("head")), f"near-heads-{k}"))
 
     if strays.limit(1).count():
-        apart = strays.select("node").distinct()
-        around = members.join(small_side(strays).select("key"), "key", "left_semi").select("node").distinct()
-        around = settled(labelled(around, labels).join(apart.withColumn("stray", F.lit(True)), "node", "left"), "near-around")
-        lead = leading_shingles(texts.join(small_side(around.select("node")), "node"), documents, similarity)
-        lead = settled(lead.join(small_side(around), "node"), "near-leading")
-        one = lead.where("stray").select("shingle", F.col("node").alias("a"), F.col("weight").alias("w_a"), F.col("rest").alias("r_a"), F.col("label").alias("l_a"))
-        two = lead.select("shingle", F.col("node").alias("b"), F.col("weight").alias("w_b"), F.col("rest").alias("r_b"), F.col("label").alias("l_b"))
-        enough = similarity / (1 + similarity) * (1 - 1e-6) * (F.col("w_a") + F.col("w_b"))
-        more = one.join(two, "shingle").where((F.col("l_a") != F.col("l_b")) & (F.least("r_a", "r_b") >= enough))
-        more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        more = small_side(settled(more, "near-pairs"))
-        more = settled(verified(more, texts, documents, similarity), "near-more")
+        groups = settled(members.join(small_side(settled(strays.select("key").distinct(), "near-open")), "key"), "near-groups")
+        more = settled(links_within(groups, texts, documents, similarity), "near-more")
         if more.limit(1).count():
             labels = small_side(components(more if links is None else links.union(more)))
 
