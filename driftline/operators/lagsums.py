@@ -5,6 +5,7 @@ Each (series, chunk) is reduced to one small matrix by numpy inside its task; th
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -80,3 +81,24 @@ def solve(gram: np.ndarray, cols: list[int], target: int) -> tuple[np.ndarray, f
     beta = inv @ b
     ssr = float(gram[target, target] - b @ beta)
     return beta / scale, max(ssr, 0.0), inv / np.outer(scale, scale)
+
+
+def nested_ssr(gram: np.ndarray, target: int, least: int) -> np.ndarray:
+    """Residual sums of squares of the target on the first ``least``, least + 1, ... of the columns before it.
+
+    One factorisation serves all of them: each further column takes the square of one more entry of the solved target.
+    """
+    scale = np.sqrt(np.maximum(np.diag(gram)[: target + 1], 1e-300))
+    a = gram[: target + 1, : target + 1] / np.outer(scale, scale)
+    # columns that the ones before them explain take nothing away
+    factor = np.zeros((target, target))
+    solved = np.zeros(target)
+    for j in range(target):
+        v = a[j, j] - factor[j, :j] @ factor[j, :j]
+        if v <= 1e-13:
+            continue
+        factor[j, j] = math.sqrt(v)
+        factor[j + 1 :, j] = (a[j + 1 : target, j] - factor[j + 1 :, :j] @ factor[j, :j]) / factor[j, j]
+        solved[j] = (a[target, j] - solved[:j] @ factor[j, :j]) / factor[j, j]
+    rest = a[target, target] - np.cumsum(solved**2)
+    return np.maximum(rest[least - 1 :], 0.0) * scale[target] ** 2
