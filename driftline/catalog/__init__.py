@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-SECTIONS = ("features", "timejoins", "reports", "profiling", "backtests", "statistics", "storage", "models", "live")
+SECTIONS = ("features", "timejoins", "reports", "profiling", "backtests", "statistics", "scopes", "storage", "models", "live")
 
 
 def load() -> dict:

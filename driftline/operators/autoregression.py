@@ -17,11 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftline.operators.backtest import top_n_by
-from driftline.operators.correlogram import centred
-from driftline.operators.lagsums import GRAM_CHUNK_ROWS, lag_sums, solve
-from driftline.operators.ordered import Series, number_rows, over_series
-from driftline.operators.rolling import difference
-from driftline.operators.scopes import SCOPE, difference_weights, lag_matrices, lagged, mapped, products, reduce_scopes, scope_rows, scope_sizes, shifted
+from driftline.operators.lagsums import GRAM_CHUNK_ROWS, solve
+from driftline.operators.ordered import Series, over_series
+from driftline.operators.scopes import GLOBAL, SCOPE, difference_weights, lag_matrices, lagged, mapped, products, reduce_scopes, scope_rows, scope_sizes, shifted
 from driftline.session import join_same, pin, settle
 
 TOP = 5
@@ -189,22 +187,20 @@ def order_grid_search(
 ) -> DataFrame:
     """AIC, BIC and coefficients for each (series, p, sp) on the differenced training rows.
 
-    All orders share one pass over the data and one sample, so their criteria compare. ``coef`` holds the weights of
-    lags 1, 2, ... on the undifferenced value, ``const`` the constant.
+    All orders share one pass over the data and one sample, so their criteria compare; differences are taken in the cross
+    products. ``coef`` holds the weights of lags 1, 2, ... on the undifferenced value, ``const`` the constant.
     """
     keys = list(series.keys)
+    weights = difference_weights(d, sd, m)
+    lost = len(weights) - 1
     lags = sorted({k for p, _ in orders for k in range(1, p + 1)} | {k * m for _, sp in orders for k in range(1, sp + 1) if m})
     reach = max(lags, default=0)
-    diffed = difference(train, series, col, d=d, seasonal=sd, period=m or 1, out="_w", split=split)
-    slim = settle(diffed.select(*keys, *dict.fromkeys((series.ts, *series.tie)), "_w"))
-    means = slim.groupBy(*keys).agg(F.avg("_w").alias("_mean"))
-    rows = number_rows(centred(slim, keys, "_w", "_c"), series, split=split).where(F.col("n_rows") > 2 * reach + 10)
-
-    def design(values: np.ndarray, start: int, stop: int, _: int) -> np.ndarray:
-        at = np.arange(start, stop)
-        return np.column_stack([np.ones(len(at)), *[values[at - k] for k in lags], values[at]])
-
-    sums = join_same(lag_sums(rows, series, "_c", max(reach, 1), lambda _: reach, design, split, rows_per_chunk), means, keys)
+    raw = sorted({j + k for j in (0, *lags) for k in np.flatnonzero(weights).tolist()})
+    rows = scope_rows(train, series, col)
+    sizes = scope_sizes(rows, series).where(F.col(SCOPE) == GLOBAL)
+    means = pin(train.groupBy(*keys).agg(F.avg(F.col(col).cast("double")).alias("_mean")))
+    sums = join_same(lag_matrices(rows, series, raw, split, rows_per_chunk), sizes, [*keys, SCOPE]).where(F.col("n") - lost > 2 * reach + 10)
+    sums = join_same(sums, means, keys)
     todo = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(sp).alias("sp")) for p, sp in orders])).alias("_o")
     work = sums.select(*keys, "gram", "n_used", "_mean", todo).select(*keys, "gram", "n_used", "_mean", "_o.*")
     fields = "p int, d int, q int, sp int, sd int, sq int, m int, n_used long, aic double, bic double, sigma2 double, const double, coef array<double>"
@@ -212,13 +208,14 @@ def order_grid_search(
     names = [f.split()[0] for f in fields.split(", ")]
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        size = len(lags) + 2
+        columns = [*[shifted(weights, k) for k in lags], weights]
         for pdf in batches:
             found = []
             for gram, n, mean, p, sp in zip(pdf["gram"], pdf["n_used"], pdf["_mean"], pdf["p"], pdf["sp"]):
                 use = [k for k in lags if k <= p or (m and k % m == 0 and k // m <= sp)]
                 cols = [0] + [1 + lags.index(k) for k in use]
-                beta, ssr, _ = solve(np.asarray(gram, dtype=float).reshape(size, size), cols, size - 1)
+                full = mapped(np.asarray(gram, dtype=float).reshape(len(raw) + 1, -1), raw, columns)
+                beta, ssr, _ = solve(full, cols, len(lags) + 1)
                 n, k = int(n), len(cols) + 1
                 sigma2 = max(ssr / n, 1e-300)
                 fitness = n * (math.log(2 * math.pi) + math.log(sigma2) + 1)
@@ -226,12 +223,8 @@ def order_grid_search(
                 ar[0] = 1.0
                 for lag, b in zip(use, beta[1:]):
                     ar[lag] = -b
-                const = float(beta[0] + mean * ar.sum())
-                poly = ar
-                for _ in range(d):
-                    poly = np.convolve(poly, [1.0, -1.0])
-                for _ in range(sd):
-                    poly = np.convolve(poly, np.r_[1.0, np.zeros(m - 1), -1.0])
+                poly = np.convolve(ar, weights)
+                const = float(beta[0] + mean * poly.sum())
                 level = (-poly[1:]).tolist()
                 found.append((p, d, 0, sp, sd, 0, m, n, fitness + 2 * k, fitness + k * math.log(n), sigma2, const, level))
             out = pd.DataFrame(found, columns=names)

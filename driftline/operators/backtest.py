@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from driftline.functions.numeric import rel_diff
 from driftline.operators.ordered import Series, number_rows, over_series, running_total
 from driftline.operators.quantiles import one_quantile
-from driftline.session import settle
+from driftline.session import join_same, settle
 
 METRICS = ("mae", "rmse", "mase", "smape")
 # Sizes below which a scope is not evaluated, fold layout, fall-back thresholds.
@@ -179,11 +179,8 @@ def stability_checks(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
     metrics = settle(metrics)
     limits = p75_thresholds(metrics, keys)
     scopes = metrics.where(F.col("name") == "naive_main").select(*keys)
-    joined = (
-        scopes.join(split_differences(metrics, keys), list(keys), "left")
-        .join(cv_of_folds(metrics, keys), list(keys), "left")
-        .join(F.broadcast(limits), F.lit(True))  # one row
-    )
+    joined = join_same(join_same(scopes, split_differences(metrics, keys), keys, "left"), cv_of_folds(metrics, keys), keys, "left")
+    joined = joined.join(F.broadcast(limits), F.lit(True))  # one row
     worst = F.greatest("mae_diff", "rmse_diff", "mase_diff")
     unknown = F.col("mae_diff").isNull() | F.col("rmse_diff").isNull() | F.col("mase_diff").isNull()
     return joined.select(
@@ -253,7 +250,7 @@ def classification_metrics(df: DataFrame, keys: Sequence[str], y="y_true", pred=
         )
     )
     if keys:
-        return base.join(auc, list(keys), "left")
+        return join_same(base, auc, keys, "left")
     return base.join(F.broadcast(auc), F.lit(True), "left")  # one row
 
 

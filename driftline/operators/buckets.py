@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.temporal import epoch_us, floor_ts
 from driftline.operators.clean import numeric_columns
-from driftline.session import settle
+from driftline.session import join_same, settle
 
 # A calendar label closes its period, as in the pandas month-end rule.
 CALENDAR = {"month": "month", "quarter": "quarter", "year": "year"}
@@ -198,7 +198,7 @@ def volume_per_day(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     daily = df.groupBy(*keys, F.to_date(ts).alias("day")).agg(F.count("*").alias("n"))
     bounds = daily.groupBy(*keys).agg(F.min("day").alias("_a"), F.max("day").alias("_z"))
     spine = bounds.select(*keys, F.explode(F.sequence("_a", "_z")).alias("day"))
-    return spine.join(daily, [*keys, "day"], "left").select(*keys, "day", F.coalesce("n", F.lit(0)).alias("n"))
+    return join_same(spine, daily, [*keys, "day"], "left").select(*keys, "day", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def regular_spine(df: DataFrame, keys: Sequence[str], ts: str, freq: str) -> DataFrame:
@@ -207,4 +207,4 @@ def regular_spine(df: DataFrame, keys: Sequence[str], ts: str, freq: str) -> Dat
     bounds = df.groupBy(*keys).agg(F.min(ts).alias("_a"), F.max(ts).alias("_z"))
     step = F.expr(f"INTERVAL {freq}")
     spine = bounds.select(*keys, F.explode(F.sequence("_a", "_z", step)).alias(ts))
-    return spine.join(df, [*keys, ts], "left")
+    return join_same(spine, df, [*keys, ts], "left")

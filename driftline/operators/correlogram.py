@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from driftline.functions.temporal import PERIOD_CANDIDATES
+from driftline.functions.temporal import PERIOD_CANDIDATES, safe_lag
 from driftline.operators.ordered import CHUNK, HALO, Series, framed_chunks, over_series
 from driftline.operators.rolling import difference
 from driftline.session import join_same, pin, settle
@@ -93,7 +93,7 @@ def acf(df: DataFrame, series: Series, col: str, lags: Sequence[int], split: boo
     mean = F.col("_x0") / F.col("n")
     top = F.col("_xy") - mean * F.col("_s") + F.col("_c") * mean * mean
     bottom = F.col("_xx") - F.col("n") * mean * mean
-    return sums.where("lag > 0").join(base, keys).select(*keys, "lag", F.try_divide(top, bottom).alias("acf"), "n")
+    return join_same(sums.where("lag > 0"), base, keys).select(*keys, "lag", F.try_divide(top, bottom).alias("acf"), "n")
 
 
 @F.pandas_udf(ArrayType(DoubleType()))
@@ -132,7 +132,7 @@ def suggested_orders(acf_rows: DataFrame, pacf_rows: DataFrame, keys: Sequence[s
     enough = F.col("n") >= MIN_ORDER_ROWS
     q = acf_rows.groupBy(*keys).agg(F.min(F.when(enough & significant(F.col("acf"), F.col("n")), F.col("lag"))).alias("q"))
     p = pacf_rows.groupBy(*keys).agg(F.min(F.when(enough & significant(F.col("pacf"), F.col("n")), F.col("lag"))).alias("p"))
-    return q.join(p, list(keys)).select(*keys, F.coalesce("p", F.lit(0)).alias("p"), F.coalesce("q", F.lit(0)).alias("q"))
+    return join_same(q, p, keys).select(*keys, F.coalesce("p", F.lit(0)).alias("p"), F.coalesce("q", F.lit(0)).alias("q"))
 
 
 def seasonal_orders(acf_rows: DataFrame, pacf_rows: DataFrame, keys: Sequence[str], period: int) -> DataFrame:
@@ -140,7 +140,51 @@ def seasonal_orders(acf_rows: DataFrame, pacf_rows: DataFrame, keys: Sequence[st
     usable = (F.col("lag") % period == 0) & (F.col("n") >= max(60, 5 * period))
     q = acf_rows.groupBy(*keys).agg(F.max((usable & significant(F.col("acf"), F.col("n"))).cast("int")).alias("sq"))
     p = pacf_rows.groupBy(*keys).agg(F.max((usable & significant(F.col("pacf"), F.col("n"))).cast("int")).alias("sp"))
-    return q.join(p, list(keys)).select(*keys, "sp", "sq")
+    return join_same(q, p, keys).select(*keys, "sp", "sq")
+
+
+def suggest_orders(
+    df: DataFrame,
+    series: Series,
+    col: str,
+    orders: DataFrame,
+    granularity: str,
+    period: int = 0,
+    split: bool | None = None,
+) -> DataFrame:
+    """``orders`` (keys, d, sd) with p, q, sp and sq suggested by the correlograms of the differenced values.
+
+    Plain orders look at lags up to the safe lag of the granularity, seasonal ones at multiples of the period up to
+    max(2 * period, 60), at most 400, on values that are differenced at the period as well where ``sd`` says so.
+    """
+    keys = list(series.keys)
+    orders = pin(orders.select(*keys, "d", "sd"))
+    wide = min(max(2 * period, 60), 400) if period > 1 else 0
+    df = settle(df)
+
+    def differenced(seasonal: bool) -> DataFrame:
+        part = None
+        wanted = orders.select("d", F.col("sd") if seasonal else F.lit(0).alias("sd")).distinct().collect()
+        for d, sd in sorted((r["d"], r["sd"]) for r in wanted):  # a handful of orders
+            same = orders.where((F.col("d") == d) & (F.col("sd") == sd if seasonal else F.lit(True)))
+            got = difference(join_same(df, same, keys, "left_semi"), series, col, d=d, seasonal=sd, period=max(period, 1), out="_w", split=split)
+            part = got if part is None else part.unionByName(got)
+        return part
+
+    found = orders
+    for seasonal in (False, True)[: 2 if wide else 1]:
+        part = differenced(seasonal)
+        if part is None:
+            break
+        longest = part.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+        limit = F.least(F.lit(wide), F.col("n") - 2) if seasonal else safe_lag(granularity, period, F.col("n"))
+        top = part.sparkSession.createDataFrame([(longest,)], "n bigint").select(limit.alias("k")).first()["k"]
+        rho = settle(acf(part, series, "_w", range(1, max(1, top) + 1), split).where(F.col("lag") <= limit))
+        partial = pacf(rho, keys)
+        pairs = seasonal_orders(rho, partial, keys, period) if seasonal else suggested_orders(rho, partial, keys)
+        found = join_same(found, pairs, keys, "left")
+    known = set(found.columns)
+    return found.select(*keys, *[(F.coalesce(c, F.lit(0)) if c in known else F.lit(0)).cast("int").alias(c) for c in ("p", "q", "sp", "sq", "d", "sd")])
 
 
 def infer_period(
@@ -167,7 +211,7 @@ def infer_period(
         F.max_by("lag", F.struct("acf", -F.col("lag"))).alias("_m"), F.max("acf").alias("_r")
     )
     accepted = (F.col("n") >= max_lag + 5) & (F.col("_r") >= F.greatest(F.lit(threshold), Z95 / F.sqrt("n")))
-    every = df.select(*keys).distinct().join(best, keys, "left")
+    every = join_same(df.select(*keys).distinct(), best, keys, "left")
     return every.select(
         *keys,
         F.when(accepted, F.col("_m")).otherwise(F.lit(candidates[0])).alias("period"),

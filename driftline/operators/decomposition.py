@@ -65,7 +65,7 @@ def seasonality_strength(
     )
     rho = acf(known, series, col, [period], split).select(*keys, "acf")
     enough = F.col("n") >= max(10, 2 * period)
-    out = share.join(rho, keys, "left").select(
+    out = join_same(share, rho, keys, "left").select(
         *keys,
         "n",
         F.when(enough, F.col("_share")).alias("var_ratio"),
@@ -79,7 +79,7 @@ def strategy_choice(whole: DataFrame, regimes: DataFrame, keys: Sequence[str]) -
     """global / per_regime / mixed from the strength of the whole series and of its regimes."""
     g = whole.select(*keys, F.col("var_ratio").alias("_gv"), F.col("acf_at_period").alias("_ga"))
     r = regimes.where(F.col("var_ratio").isNotNull()).select(*keys, "var_ratio", "acf_at_period")
-    joined = g.join(r, list(keys), "left")
+    joined = join_same(g, r, keys, "left")
     far_v = F.abs(F.col("var_ratio") - F.col("_gv")) > DEVIATION_VAR
     far_a = F.abs(F.col("acf_at_period") - F.col("_ga")) > DEVIATION_ACF
     shares = joined.groupBy(*keys, "_gv", "_ga").agg(
@@ -129,7 +129,9 @@ def residual_diagnostics(
 
     raw = portmanteau(rho, "lb_min_p")
     volatile = portmanteau(acf(rows, series, "_abs", range(1, max(wanted) + 1), split), "lb_abs_min_p")
-    out = basic.join(peak, keys, "left").join(raw, keys, "left").join(volatile, keys, "left")
+    out = basic
+    for part in (peak, raw, volatile):
+        out = join_same(out, part, keys, "left")
     flat = F.col("_sp") < FLAT_STD
     return out.select(
         *keys,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.temporal import epoch_us
-from driftline.operators.ordered import CHUNK_ROWS, Series, carry
+from driftline.operators.ordered import CHUNK_ROWS, CHUNK_SECONDS, Series, carry
 from driftline.session import broadcast_if_small
 
 
@@ -28,7 +28,7 @@ def asof_join(
     strict: bool = False,
     split: bool | None = None,
     rows_per_chunk: int = CHUNK_ROWS,
-    chunk_seconds: int = 24 * 3600,
+    chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Attach to every left row the right row of the same key closest in time.
 

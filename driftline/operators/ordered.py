@@ -21,6 +21,8 @@ CHUNK = "_chunk"
 SPAN = "_span"
 HALO = "_halo"
 CHUNK_ROWS = 2_000_000
+# a series starts as one chunk and is cut where it holds too many rows
+CHUNK_SECONDS = 100 * 365 * 24 * 3600
 
 
 @dataclass(frozen=True)
@@ -33,7 +35,7 @@ class Series:
     keys: tuple[str, ...]
     ts: str
     tie: tuple[str, ...] = ()
-    chunk_seconds: int = 30 * 24 * 3600
+    chunk_seconds: int = CHUNK_SECONDS
     back_tie: tuple[str, ...] | None = None
 
     def __post_init__(self):
@@ -70,14 +72,12 @@ def assign_chunks(df: DataFrame, series: Series, rows_per_chunk: int = CHUNK_ROW
     out = df.withColumn(CHUNK, us - F.pmod(us, F.lit(width))).withColumn(SPAN, F.lit(width).cast("long"))
     by = [*series.keys, CHUNK]
     while True:
-        crowded = pin(
-            out.groupBy(*by)
-            .agg(F.count("*").alias("_rows"), F.max(SPAN).alias("_span"))
-            .where((F.col("_rows") > rows_per_chunk) & (F.col("_span") > 1))
-            .select(*by, F.ceil(2 * F.col("_rows") / rows_per_chunk).cast("long").alias("_parts"))
-        )
-        if not crowded.limit(1).count():
+        counts = out.groupBy(*by).agg(F.count("*").alias("_rows"), F.max(SPAN).alias("_span")).where(F.col("_span") > 1)
+        # most often no chunk is crowded, and one small job says so
+        if (counts.agg(F.max("_rows").alias("n")).first()["n"] or 0) <= rows_per_chunk:
             break
+        parts = F.ceil(2 * F.col("_rows") / rows_per_chunk).cast("long").alias("_parts")
+        crowded = pin(counts.where(F.col("_rows") > rows_per_chunk).select(*by, parts))
         step = F.greatest(F.lit(1).cast("long"), F.expr(f"{SPAN} div coalesce(_parts, 1)"))
         out = (
             join_same(out, crowded, by, "left")
