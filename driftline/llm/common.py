@@ -48,17 +48,17 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 class WordHashes(dict):
-    """Word to 64-bit hash, remembered up to a bound."""
+    """Word, as text or in UTF-8, to 64-bit hash, remembered up to a bound."""
 
     bound = 300_000
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str | bytes) -> int:
         if len(self) >= self.bound:
             self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        h = self[word] = xxhash.xxh3_64_intdigest(word if isinstance(word, bytes) else word.encode("utf-8", "surrogatepass"))
         return h
 
-    def of(self, words: list[str]) -> np.ndarray:
+    def of(self, words: list[str] | list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import SHINGLE, WordHashes, fresh, grams, mix, settled, small_side
+from driftline.llm.common import SHINGLE, WordHashes, fresh, mix, settled, small_side
 from driftline.llm.substrings import bit_filter
 
 SIMILARITY = 0.8
@@ -49,12 +49,28 @@ ROUNDS = 1  # heads tried per band before whole bands are compared
 TILE_ROWS = 256  # texts and items of a block, on average at most
 TILE_ITEMS = 1 << 20
 WORD = re.compile(r"\w+")
+# what no letter, digit or underscore is: bytes that part words, and characters that the bytes alone do not tell
+_PARTS = bytes(b if chr(b).isalnum() or b == 0x5F or b > 0x7F else 0x20 for b in range(256))
+_ODD = re.compile(r"[^\x00-\x7f\w]")
+_STEPS = [np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64)) for j in range(SHINGLE)]
+
+
+def words_of(text: str) -> list[bytes]:
+    """Runs of letters, digits and underscores, in lower case."""
+    text = text.lower()
+    if _ODD.search(text):
+        return [w.encode("utf-8", "surrogatepass") for w in WORD.findall(text)]
+    return text.encode("utf-8", "surrogatepass").translate(_PARTS).split()
 
 
 def shingles_of(text: str, known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of a text, ascending, and how often each occurs."""
-    h = known.of(WORD.findall(text.lower()))
-    return np.unique(grams(h, min(SHINGLE, max(1, len(h)))), return_counts=True)
+    h = known.of(words_of(text))
+    k = min(SHINGLE, max(1, len(h)))
+    acc = np.full(max(0, len(h) - k + 1), k, np.uint64)
+    for j in range(k):
+        acc += h[j : j + len(acc)] * _STEPS[j]
+    return np.unique(mix(acc), return_counts=True)
 
 
 def idf_of(counts: np.ndarray, documents: int) -> np.ndarray:
@@ -88,14 +104,20 @@ class Sampler:
         """A key for each band; equal sets have equal keys."""
         best = np.full(ROWS * BANDS, np.inf, np.float32)
         sample = np.zeros(ROWS * BANDS, np.uint64)
+        each = np.arange(ROWS * BANDS)
         logs = np.log(weights).astype(np.float32)
         for i in range(0, len(shingles), CHUNK):
             part = shingles[i : i + CHUNK]
             row = (part & np.uint64(DRAWS - 1)).astype(np.int64)
-            level = np.floor(logs[i : i + CHUNK, None] * self.per_r[row] + self.shift[row])
-            cost = self.offset[row] - self.r[row] * level
+            # in place: floor(log weight / r + shift), then offset - r * level
+            level = np.take(self.per_r, row, axis=0)
+            level *= logs[i : i + CHUNK, None]
+            level += np.take(self.shift, row, axis=0)
+            np.floor(level, out=level)
+            cost = np.take(self.r, row, axis=0)
+            cost *= level
+            np.subtract(np.take(self.offset, row, axis=0), cost, out=cost)
             at = cost.argmin(axis=0)
-            each = np.arange(ROWS * BANDS)
             least = cost[at, each]
             better = least < best
             best = np.where(better, least, best)
