@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.temporal import epoch_us
 from driftline.operators.ordered import CHUNK_ROWS, CHUNK_SECONDS, Series, carry
-from driftline.session import broadcast_if_small
+from driftline.session import broadcast_if_small, join_same
 
 
 def asof_join(
@@ -159,7 +159,7 @@ def base_price(
     exact = candles.select(
         *keys, (F.col("ts") + F.expr(f"INTERVAL '{hours}' HOUR")).alias(target_ts), F.col("close").alias("_exact")
     )
-    out = targets.join(exact, [*keys, target_ts], "left")
+    out = join_same(targets, exact, [*keys, target_ts], "left")
     out = asof_join(out, candles, keys, target_ts, "ts", ["close"], direction="backward", prefix="_c_", **kw)
     out = out.drop("delta_s", "_c_ts")
     known = points.where(F.col("price").isNotNull())
