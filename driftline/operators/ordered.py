@@ -18,7 +18,6 @@ from driftline.functions.temporal import epoch_us
 from driftline.session import join_same, pin, settle
 
 CHUNK = "_chunk"
-SPAN = "_span"
 HALO = "_halo"
 CHUNK_ROWS = 2_000_000
 # a series starts as one chunk and is cut where it holds too many rows
@@ -61,31 +60,29 @@ def should_split(df: DataFrame, split: bool | None) -> bool:
 def assign_chunks(df: DataFrame, series: Series, rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
     """Add the start (epoch microseconds) of each row's chunk.
 
-    Every round counts rows per chunk and cuts the ones above ``rows_per_chunk`` into equal spans, until none is
-    crowded or its span is a single instant. The table of such chunks has at most total rows / ``rows_per_chunk`` entries.
+    Every round counts rows per chunk and cuts the ones above ``rows_per_chunk`` into equal spans of the times that
+    occur, until none is crowded but for single instants. The table of such chunks has at most total rows / ``rows_per_chunk`` entries.
     The input is read several times from here on, so anything but a plain scan is settled first. A whole number may
     stand for the time.
     """
     df = settle(df)
     width = series.chunk_seconds * 1_000_000
     us = F.col(series.ts).cast("long") if dict(df.dtypes)[series.ts] in ("int", "bigint") else epoch_us(series.ts)
-    out = df.withColumn(CHUNK, us - F.pmod(us, F.lit(width))).withColumn(SPAN, F.lit(width).cast("long"))
+    out = df.withColumn(CHUNK, us - F.pmod(us, F.lit(width)))
     by = [*series.keys, CHUNK]
     while True:
-        counts = out.groupBy(*by).agg(F.count("*").alias("_rows"), F.max(SPAN).alias("_span")).where(F.col("_span") > 1)
+        sizes = [F.count("*").alias("_rows"), F.min(us).alias("_lo"), F.max(us).alias("_hi")]
+        counts = out.groupBy(*by).agg(*sizes).where("_lo < _hi")
         # most often no chunk is crowded, and one small job says so
         if (counts.agg(F.max("_rows").alias("n")).first()["n"] or 0) <= rows_per_chunk:
             break
-        parts = F.ceil(2 * F.col("_rows") / rows_per_chunk).cast("long").alias("_parts")
-        crowded = pin(counts.where(F.col("_rows") > rows_per_chunk).select(*by, parts))
-        step = F.greatest(F.lit(1).cast("long"), F.expr(f"{SPAN} div coalesce(_parts, 1)"))
-        out = (
-            join_same(out, crowded, by, "left")
-            .withColumn(SPAN, step)
-            .withColumn(CHUNK, F.col(CHUNK) + (us - F.col(CHUNK)) - F.pmod(us - F.col(CHUNK), F.col(SPAN)))
-            .drop("_parts")
-        )
-    return out.drop(SPAN)
+        parts = F.ceil(2 * F.col("_rows") / rows_per_chunk)
+        # the times that occur are cut, so a burst in a wide chunk needs few rounds
+        step = F.ceil((F.col("_hi") - F.col("_lo") + 1) / parts).cast("long").alias("_step")
+        crowded = pin(counts.where(F.col("_rows") > rows_per_chunk).select(*by, "_lo", step))
+        start = F.when(F.col("_step").isNotNull(), us - F.pmod(us - F.col("_lo"), F.col("_step"))).otherwise(F.col(CHUNK))
+        out = join_same(out, crowded, by, "left").withColumn(CHUNK, start).drop("_lo", "_step")
+    return out
 
 
 def _same(by: list[str]) -> Column:
