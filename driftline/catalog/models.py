@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driftline.catalog.base import AXES, BARS, CANDLES_SQL, NEWS_SQL, Shape, candles, events, news, query
+from driftline.catalog.base import AXES, BARS, NEWS_SQL, PRICES_SQL, Shape, candles, events, news, prices, query
 from driftline.catalog.features import price_sql, wide_sql
+from driftline.functions.temporal import freq_of
 from driftline.operators import buckets, rolling
 from driftline.operators.backtest import classification_metrics, time_split
 from driftline.plans import score
 from driftline.plans.price import PROFILES, price_features
 from driftline.session import settle, table
+from driftline.sources.windows import candle_window, live_days, newest
 
 
 def _word_scorer():
@@ -84,7 +86,9 @@ REQUEST_SQL = """asked AS (SELECT event_id AS request_id, CASE WHEN event_type I
     CASE WHEN value > 60 THEN '24h' WHEN value > 30 THEN '4h' WHEN value > 2 THEN '1h' ELSE '15m' END AS resolution,
     CASE event_type WHEN 'purchase' THEN 'historical' WHEN 'error' THEN 'live' WHEN 'signup' THEN 'later' ELSE 'auto' END AS mode,
     CASE WHEN event_type IN ('view', 'click') THEN 'rf_price' ELSE 'xgb_clf' END AS model,
+    CASE WHEN event_type IN ('view', 'click') THEN ['purchase', 'click', 'view', 'signup', 'error'][event_id % 5 + 1] ELSE 'market' END AS series_id,
     ts + INTERVAL 3 DAY AS target_ts FROM events)"""
+KINDS = ("purchase", "click", "view", "signup", "error")
 COVERAGE_SQL = """covered AS (SELECT CASE WHEN event_type IN ('view', 'click') THEN 'price' ELSE 'sentiment' END AS task, r AS resolution,
     min(ts) AS first_ts, max(ts) AS last_ts FROM events, (VALUES ('1h'), ('4h')) v(r) GROUP BY 1, 2)"""
 STEP_SQL = "CASE a.resolution WHEN '1h' THEN INTERVAL 1 HOUR WHEN '4h' THEN INTERVAL 4 HOUR WHEN '24h' THEN INTERVAL 24 HOUR END"
@@ -103,6 +107,7 @@ def requests(spark, d):
         .otherwise("auto")
         .alias("mode"),
         F.when(price, "rf_price").otherwise("xgb_clf").alias("model"),
+        F.when(price, F.array(*map(F.lit, KINDS))[(F.col("event_id") % 5).cast("int")]).otherwise("market").alias("series_id"),
         (F.col("ts") + F.expr("INTERVAL 3 DAY")).alias("target_ts"),
     )
 
@@ -110,7 +115,7 @@ def requests(spark, d):
 @query(
     Shape("task resolution target_ts mode_used msg", "request_id"),
     f"""WITH {REQUEST_SQL}, {COVERAGE_SQL}
-    FINAL SELECT a.*, CASE WHEN a.resolution = '15m' THEN 'Invalid resolution (must be ''1h'', ''4h'' or ''24h'')' WHEN mode = 'later' THEN 'Invalid mode (auto, historical, live)' END AS msg,
+    FINAL SELECT a.*, CASE WHEN a.resolution = '15m' THEN 'bad_resolution' WHEN mode = 'later' THEN 'bad_mode' END AS msg,
       CASE WHEN a.resolution = '15m' OR mode = 'later' THEN NULL WHEN mode = 'live' THEN 'live' WHEN mode = 'historical' AND first_ts IS NOT NULL THEN 'historical'
       WHEN mode = 'historical' THEN 'live' WHEN target_ts >= first_ts AND target_ts <= last_ts + {STEP_SQL} THEN 'historical' ELSE 'live' END AS mode_used
     FROM asked a LEFT JOIN covered c ON a.task = c.task AND a.resolution = c.resolution""",
@@ -141,16 +146,36 @@ SENT_MODEL = _logit(("sentiment_total_mean", 3.0), ("sentiment_mean_BTC", 1.0))
 PRICE_MODEL = _logit(("ret_1", 0.5), ("std_8", -0.1), ("range_norm", 0.2))
 
 
+KEYS = ["series_id"]
+
+
+def price_store(points, resolution, now=None):
+    """Price features of every series; with ``now`` from the points of the live look-back alone."""
+    freq = freq_of(resolution)
+    if now is not None:
+        points = candle_window(points, "ts", resolution, now, reach=PROFILES[resolution].reach, bars=freq)
+    bars = buckets.ohlc_resample(points, KEYS, "ts", "price", freq, "event_id").withColumnRenamed("bucket", "ts")
+    # one row per series and bar: the time span bounds a series, as it does for sentiment
+    return price_features(bars, BARS, resolution, split=False).withColumnRenamed("ts", "timestamp")
+
+
+def sentiment_store(articles, resolution, now=None):
+    if now is not None:
+        articles = live_days(articles, "published_at", now)
+    wide = buckets.sentiment_wide(articles, KEYS, "published_at", freq_of(resolution), AXES)
+    return buckets.sentiment_null_policy(wide).withColumnRenamed("bucket", "timestamp")
+
+
 def stores(spark, d):
-    """Stored history per task and resolution; the live store of a task holds the whole span at one hour."""
+    """History and live stores per task and resolution. Live ones see only what a request at the newest time finds."""
+    now = newest(events(spark, d), "ts")
     history, live = {}, {}
-    btc = candles(spark, d).where("series_id = 'purchase'")
-    feats = settle(price_features(btc, BARS, "1h").drop("series_id").withColumnRenamed("ts", "timestamp"))
-    for res, freq in (("1h", "1 hour"), ("4h", "4 hours")):
-        wide = buckets.sentiment_null_policy(buckets.sentiment_wide(news(spark, d), ["series_id"], "published_at", freq, AXES))
-        history[("sentiment", res)] = settle(wide.drop("series_id").withColumnRenamed("bucket", "timestamp"))
-        history[("price", res)] = feats
-        live[("sentiment", res)] = history[("sentiment", "1h")]
+    for res in ("1h", "4h"):
+        history[("sentiment", res)] = sentiment_store(news(spark, d), res)
+        history[("price", res)] = price_store(prices(spark, d), res)
+        if now is not None:
+            live[("sentiment", res)] = sentiment_store(news(spark, d), res, now)
+            live[("price", res)] = price_store(prices(spark, d), res, now)
     return history, live
 
 
@@ -158,43 +183,54 @@ def answers(spark, d, asked):
     history, live = stores(spark, d)
     scorers = {("sentiment", r): (SENT_MODEL, SENT_COLS) for r in ("1h", "4h")}
     scorers |= {("price", r): (PRICE_MODEL, PRICE_COLS) for r in ("1h", "4h")}
-    return score.batch_predict(asked, history, live, scorers)
-
-
-def near_sql(name: str, store: str, where: str) -> str:
-    """Requests with the nearest row of a store, the later one on a tie."""
-    return f"""{name}_q AS (SELECT * FROM routed WHERE {where}),
-    {name}_b AS (SELECT request_id, s.* FROM {name}_q q ASOF JOIN {store} s ON q.target_ts >= s.stamp),
-    {name}_f AS (SELECT request_id, s.* FROM {name}_q q ASOF JOIN {store} s ON q.target_ts <= s.stamp),
-    {name} AS (SELECT q.*, CASE WHEN b.stamp IS NULL OR epoch_us(f.stamp) - epoch_us(q.target_ts) <= epoch_us(q.target_ts) - epoch_us(b.stamp) THEN f.z ELSE b.z END AS z
-      FROM {name}_q q LEFT JOIN {name}_b b USING (request_id) LEFT JOIN {name}_f f USING (request_id))"""
-
-
-SENT_Z = "3.0 * CAST(CAST(sentiment_total_mean AS FLOAT) AS DOUBLE) + CAST(CAST(sentiment_mean_BTC AS FLOAT) AS DOUBLE) AS z"
-STORES_SQL = f"""{NEWS_SQL}, w1 AS (WITH {wide_sql('series_id', '1 hour')} SELECT * FROM wide), w4 AS (WITH {wide_sql('series_id', '4 hours')} SELECT * FROM wide),
-  s1 AS (SELECT bucket AS stamp, {SENT_Z} FROM w1), s4 AS (SELECT bucket AS stamp, {SENT_Z} FROM w4),
-  {CANDLES_SQL}, btc AS (SELECT * FROM candles WHERE series_id = 'purchase'), {price_sql(PROFILES['1h'], 'btc')},
-  p1 AS (SELECT ts AS stamp, 0.5 * CAST(CAST(coalesce(ret_1, 0) AS FLOAT) AS DOUBLE) - 0.1 * CAST(CAST(coalesce(std_8, 0) AS FLOAT) AS DOUBLE)
-    + 0.2 * CAST(CAST(coalesce(range_norm, 0) AS FLOAT) AS DOUBLE) AS z FROM feats),
-  spans AS (SELECT 'sentiment' AS task, '1h' AS resolution, min(stamp) AS first_ts, max(stamp) AS last_ts FROM s1 UNION ALL
-    SELECT 'sentiment', '4h', min(stamp), max(stamp) FROM s4 UNION ALL SELECT 'price', r, min(stamp), max(stamp) FROM p1, (VALUES ('1h'), ('4h')) v(r) GROUP BY r),
-  routed AS (SELECT a.*, CASE WHEN a.resolution = '15m' THEN 'Invalid resolution (must be ''1h'', ''4h'' or ''24h'')' WHEN mode = 'later' THEN 'Invalid mode (auto, historical, live)' END AS msg,
+    return score.batch_predict(asked, history, live, scorers, keys=KEYS)
+
+
+SENT_Z = "3.0 * CAST(CAST(sentiment_total_mean AS FLOAT) AS DOUBLE) + CAST(CAST(sentiment_mean_BTC AS FLOAT) AS DOUBLE)"
+PRICE_Z = """0.5 * CAST(CAST(coalesce(ret_1, 0) AS FLOAT) AS DOUBLE) - 0.1 * CAST(CAST(coalesce(std_8, 0) AS FLOAT) AS DOUBLE)
+    + 0.2 * CAST(CAST(coalesce(range_norm, 0) AS FLOAT) AS DOUBLE)"""
+
+
+def store_sql(task: str, resolution: str, mode: str) -> str:
+    """One store as (task, resolution, mode_used, series_id, stamp, z)."""
+    hours = 1 if resolution == "1h" else 4
+    head = f"SELECT '{task}' AS task, '{resolution}' AS resolution, '{mode}' AS mode_used, series_id"
+    if task == "sentiment":
+        seen = "" if mode == "historical" else "WHERE published_at >= date_trunc('day', (SELECT max(ts) FROM events) - INTERVAL 24 HOUR)"
+        wide = wide_sql("series_id", f"{hours} hours").replace("FROM news", "FROM seen")
+        return f"(WITH seen AS (SELECT * FROM news {seen}), {wide} {head}, bucket AS stamp, {SENT_Z} AS z FROM wide)"
+    # 24 rows are looked back, and one more is held: 25 hours beat the 24 of the 1h look-back, 168 hours the 100 of the 4h one
+    back = {"1h": 25, "4h": 168}[resolution]
+    bucket = f"time_bucket(INTERVAL '{hours} hours', ts)"
+    seen = "" if mode == "historical" else f"WHERE {bucket} >= (SELECT max(ts) FROM events) - INTERVAL {back} HOUR"
+    return f"""(WITH bars AS (SELECT series_id, {bucket} AS ts, arg_max(price, struct_pack(a := ts, b := event_id)) AS close,
+      max(price) AS high, min(price) AS low FROM prices {seen} GROUP BY 1, 2),
+      {price_sql(PROFILES[resolution], 'bars')} {head}, ts AS stamp, {PRICE_Z} AS z FROM feats)"""
+
+
+ALL_STORES = " UNION ALL ".join(
+    f"SELECT * FROM {store_sql(t, r, m)}" for t in ("sentiment", "price") for r in ("1h", "4h") for m in ("historical", "live")
+)
+STORES_SQL = f"""{NEWS_SQL}, {PRICES_SQL}, stores AS ({ALL_STORES}),
+  spans AS (SELECT task, resolution, series_id, min(stamp) AS first_ts, max(stamp) AS last_ts FROM stores WHERE mode_used = 'historical' GROUP BY ALL),
+  routed AS (SELECT a.*, CASE WHEN a.resolution = '15m' THEN 'bad_resolution' WHEN mode = 'later' THEN 'bad_mode' END AS msg,
     CASE WHEN a.resolution = '15m' OR mode = 'later' THEN NULL WHEN mode = 'live' THEN 'live' WHEN mode = 'historical' AND first_ts IS NOT NULL THEN 'historical'
       WHEN mode = 'historical' THEN 'live' WHEN target_ts >= first_ts AND target_ts <= last_ts + {STEP_SQL} THEN 'historical' ELSE 'live' END AS mode_used
-    FROM asked a LEFT JOIN spans c ON a.task = c.task AND a.resolution = c.resolution),
-  {near_sql('sh1', 's1', "task = 'sentiment' AND resolution = '1h' AND mode_used = 'historical'")},
-  {near_sql('sh4', 's4', "task = 'sentiment' AND resolution = '4h' AND mode_used = 'historical'")},
-  {near_sql('sl', 's1', "task = 'sentiment' AND resolution IN ('1h', '4h') AND mode_used = 'live'")},
-  {near_sql('ph', 'p1', "task = 'price' AND resolution IN ('1h', '4h') AND mode_used = 'historical'")},
-  got AS (SELECT * FROM sh1 UNION ALL SELECT * FROM sh4 UNION ALL SELECT * FROM sl UNION ALL SELECT * FROM ph),
-  answered AS (SELECT request_id, task, resolution, model, target_ts, mode_used, 1 / (1 + exp(-z)) AS proba_up, 'Success' AS msg FROM got UNION ALL
-    SELECT request_id, task, resolution, model, target_ts, mode_used, NULL, coalesce(msg, CASE WHEN resolution = '24h' THEN 'No model available' ELSE 'No features available' END)
-    FROM routed WHERE request_id || task NOT IN (SELECT request_id || task FROM got)),
+    FROM asked a LEFT JOIN spans c ON a.task = c.task AND a.resolution = c.resolution AND a.series_id = c.series_id),
+  q AS (SELECT * FROM routed WHERE msg IS NULL AND resolution IN ('1h', '4h')),
+  before AS (SELECT request_id, q.task, s.stamp, s.z FROM q ASOF JOIN stores s ON q.task = s.task AND q.resolution = s.resolution
+    AND q.mode_used = s.mode_used AND q.series_id = s.series_id AND q.target_ts >= s.stamp),
+  after AS (SELECT request_id, q.task, s.stamp, s.z FROM q ASOF JOIN stores s ON q.task = s.task AND q.resolution = s.resolution
+    AND q.mode_used = s.mode_used AND q.series_id = s.series_id AND q.target_ts <= s.stamp),
+  got AS (SELECT q.*, CASE WHEN b.stamp IS NULL OR epoch_us(f.stamp) - epoch_us(q.target_ts) <= epoch_us(q.target_ts) - epoch_us(b.stamp) THEN f.z ELSE b.z END AS z
+    FROM q LEFT JOIN before b ON q.request_id = b.request_id AND q.task = b.task LEFT JOIN after f ON q.request_id = f.request_id AND q.task = f.task),
+  answered AS (SELECT * EXCLUDE (z, msg), 1 / (1 + exp(-z)) AS proba_up, CASE WHEN z IS NULL THEN 'no_features' ELSE 'ok' END AS msg FROM got UNION ALL
+    SELECT * EXCLUDE (msg), NULL, coalesce(msg, 'no_model') FROM routed WHERE msg IS NOT NULL OR resolution = '24h'),
   final_rows AS (SELECT *, CASE WHEN proba_up IS NOT NULL THEN CAST(proba_up >= 0.5 AS INT) END AS prediction, greatest(proba_up, 1 - proba_up) AS confidence FROM answered)"""
 
 
 @query(
-    Shape("task resolution model target_ts mode_used msg", "request_id prediction", ((5, "proba_up confidence"),)),
+    Shape("task resolution model series_id target_ts mode_used msg", "request_id prediction", ((5, "proba_up confidence"),)),
     f"WITH {REQUEST_SQL}, {STORES_SQL} FINAL SELECT * FROM final_rows",
 )
 def batch_predictions(spark, d):
@@ -203,8 +239,8 @@ def batch_predictions(spark, d):
 
 
 FUSED_ASK_SQL = """asked AS (SELECT event_id AS request_id, 'sentiment' AS task, CASE WHEN value > 60 THEN '4h' WHEN value > 30 THEN '4h' ELSE '1h' END AS resolution,
-    'auto' AS mode, 'xgb_clf' AS model, ts AS target_ts FROM events UNION ALL
-  SELECT event_id, 'price', CASE WHEN value > 60 THEN '24h' WHEN value > 30 THEN '4h' ELSE '1h' END, 'auto', 'rf_price', ts + INTERVAL 1 HOUR FROM events)"""
+    'auto' AS mode, 'xgb_clf' AS model, 'market' AS series_id, ts AS target_ts FROM events UNION ALL
+  SELECT event_id, 'price', CASE WHEN value > 60 THEN '24h' WHEN value > 30 THEN '4h' ELSE '1h' END, 'auto', 'rf_price', event_type, ts + INTERVAL 1 HOUR FROM events)"""
 FUSED_SIDES = ", ".join(
     f"max({c}) FILTER (task = '{t}') AS {t}_{c}" for t in ("sentiment", "price") for c in ("prediction", "proba_up", "confidence", "mode_used", "msg")
 )
@@ -217,24 +253,24 @@ FUSED_SIDES = ", ".join(
         ((5, "sentiment_proba_up sentiment_confidence price_proba_up price_confidence"),),
     ),
     f"""WITH {FUSED_ASK_SQL}, {STORES_SQL}, wide_rows AS (SELECT request_id, {FUSED_SIDES} FROM final_rows GROUP BY 1)
-    FINAL SELECT *, CASE WHEN sentiment_prediction IS NOT NULL OR price_prediction IS NOT NULL THEN 'Success' ELSE 'No predictions' END AS msg FROM wide_rows""",
+    FINAL SELECT *, CASE WHEN sentiment_prediction IS NOT NULL OR price_prediction IS NOT NULL THEN 'ok' ELSE 'no_prediction' END AS msg FROM wide_rows""",
 )
 def fused_predictions(spark, d):
     asked = events(spark, d).select(
         F.col("event_id").alias("request_id"),
+        "event_type",
         F.when(F.col("value") > 60, "24h").when(F.col("value") > 30, "4h").otherwise("1h").alias("resolution"),
         F.lit("auto").alias("mode"),
         F.col("ts").alias("target_sent"),
         (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("target_price"),
     )
-    return score.fused_predict(answers(spark, d, score.fused_requests(asked)))
+    return score.fused_predict(answers(spark, d, score.fused_requests(asked, {"series_id": (F.lit("market"), F.col("event_type"))})))
 
 
 def _trained(spark, d, algo, **params):
     """Direction model on the first 80 percent of each series' candles, metrics on the rest."""
-    feats = price_features(rolling.future_target(candles(spark, d), BARS, "close", 1), BARS, "1h")
-    target = rolling.future_target(candles(spark, d), BARS, "close", 1).select("series_id", "ts", "target_up")
-    rows = settle(time_split(feats.join(target, ["series_id", "ts"]), BARS, 0.2).where(F.col("target_up").isNotNull()))
+    feats = rolling.future_target(price_features(candles(spark, d), BARS, "1h"), BARS, "close", 1)
+    rows = settle(time_split(feats, BARS, 0.2).where(F.col("target_up").isNotNull()))
     cols = PROFILES["1h"].columns
     model = score.train_direction(rows.where("part = 'train'"), cols, algo, **params)
     keep = ["series_id", "ts", "y_true"]

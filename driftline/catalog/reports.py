@@ -181,7 +181,9 @@ def missing_requests(spark, d):
     WHERE ts BETWEEN TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 168 HOUR AND TIMESTAMP '2024-01-20 12:00:00'""",
 )
 def candle_window_4h(spark, d):
-    return windows.candle_window(candles(spark, d), "ts", "4h", now="2024-01-20 12:00:00")
+    """The bound is set on the points, so that it reaches the scan."""
+    points = windows.candle_window(prices(spark, d), "ts", "4h", now="2024-01-20 12:00:00", bars="1 hour")
+    return buckets.ohlc_resample(points, ["series_id"], "ts", "price", "1 hour", "event_id").withColumnRenamed("bucket", "ts")
 
 
 E0, E1 = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"

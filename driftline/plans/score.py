@@ -17,7 +17,7 @@ from driftline.functions.numeric import blend
 from driftline.functions.temporal import RESOLUTION_SECONDS
 from driftline.operators.clean import align_features, drop_leakage, fill_and_cast
 from driftline.operators.joins import asof_join
-from driftline.session import broadcast_if_small, settle
+from driftline.session import broadcast_if_small, join_same, settle
 
 THRESHOLD = 0.5
 # Default model per task, text batch size.
@@ -167,10 +167,10 @@ def validate_requests(requests: DataFrame, inventory: DataFrame) -> DataFrame:
     )
 
 
-def route_mode(requests: DataFrame, coverage: DataFrame) -> DataFrame:
+def route_mode(requests: DataFrame, coverage: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Add ``mode_used`` and ``msg``: history when the target lies in it or one step after, else live.
 
-    ``coverage`` has first_ts and last_ts per (task, resolution).
+    ``coverage`` has first_ts and last_ts per (task, resolution, *keys).
     """
     step = F.coalesce(
         *[
@@ -181,9 +181,9 @@ def route_mode(requests: DataFrame, coverage: DataFrame) -> DataFrame:
     inside = (F.col("target_ts") >= F.col("first_ts")) & (F.col("target_ts") <= F.col("last_ts") + step)
     mode = F.coalesce(F.col("mode"), F.lit("auto"))
     msg = (
-        F.when(F.col("target_ts").isNull(), "Error parsing timestamp")
-        .when(~F.col("resolution").isin(*RESOLUTION_SECONDS), "Invalid resolution (must be '1h', '4h' or '24h')")
-        .when(~mode.isin("auto", "historical", "live"), "Invalid mode (auto, historical, live)")
+        F.when(F.col("target_ts").isNull(), "bad_target")
+        .when(~F.col("resolution").isin(*RESOLUTION_SECONDS), "bad_resolution")
+        .when(~mode.isin("auto", "historical", "live"), "bad_mode")
     )
     routed = (
         F.when(mode == "live", "live")
@@ -192,72 +192,121 @@ def route_mode(requests: DataFrame, coverage: DataFrame) -> DataFrame:
         .when(F.coalesce(inside, F.lit(False)), "historical")
         .otherwise("live")
     )
-    joined = requests.join(broadcast_if_small(coverage), ["task", "resolution"], "left")
+    joined = join_same(requests, broadcast_if_small(coverage), ["task", "resolution", *keys], "left")
     return joined.withColumn("msg", msg).withColumn("mode_used", F.when(F.col("msg").isNull(), routed)).drop(
         "first_ts", "last_ts"
     )
 
 
+Stores = Mapping[tuple[str, str], DataFrame]
+Scorers = Mapping[tuple[str, str], tuple[DirectionScorer, Sequence[str]]]
+
+
+def stack_stores(history: Stores, live: Stores, scorers: Scorers, keys: Sequence[str] = (), ts: str = "timestamp") -> DataFrame:
+    """All stores as one frame keyed by (task, resolution, mode_used, *keys).
+
+    ``_x`` holds the values of the model's columns, aligned, filled and cast; it is empty where no model reads them.
+    """
+    out = None
+    for mode, stores in (("historical", history), ("live", live)):
+        for (task, res), rows in stores.items():
+            columns = list(scorers[(task, res)][1]) if (task, res) in scorers else []
+            ready = fill_and_cast(align_features(drop_leakage(rows), columns, [*keys, ts]), columns)
+            part = ready.select(
+                F.lit(task).alias("task"),
+                F.lit(res).alias("resolution"),
+                F.lit(mode).alias("mode_used"),
+                *keys,
+                ts,
+                F.array(*columns).cast("array<float>").alias("_x"),
+            )
+            out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("no stores")
+    return out
+
+
 def batch_predict(
     requests: DataFrame,
-    history: Mapping[tuple[str, str], DataFrame],
-    live: Mapping[tuple[str, str], DataFrame],
-    scorers: Mapping[tuple[str, str], tuple[DirectionScorer, Sequence[str]]],
+    history: Stores,
+    live: Stores,
+    scorers: Scorers,
     ts: str = "timestamp",
     split: bool | None = None,
+    keys: Sequence[str] = (),
+    **kw,
 ) -> DataFrame:
     """Answer many (request_id, task, resolution, target_ts, mode, model) requests.
 
-    Each task and resolution scores its own requests: nearest stored or live row, aligned, predicted. Requests
-    without a row, and invalid ones, come back with a message and no prediction.
+    ``keys`` name the series, in requests and stores alike; a null key is a series of its own. All stores and
+    requests meet in one ordered pass, keyed by task, resolution, mode and series; then each model scores its rows.
+    History counts as covering a target by the span of its own series. Requests without a row in their store, and
+    invalid ones, come back with a message and no prediction.
     """
-    result = ["request_id", "task", "resolution", "model", "target_ts", "mode_used", "prediction", "proba_up", "confidence", "msg"]
-    spans = None
-    for (task, res), rows in history.items():
-        span = rows.agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")).select(
-            F.lit(task).alias("task"), F.lit(res).alias("resolution"), "first_ts", "last_ts"
-        )
-        spans = span if spans is None else spans.unionByName(span)
-    # read once per task, resolution and mode
-    routed = settle(route_mode(requests, spans))
-    none = {"prediction": F.lit(None).cast("int"), "proba_up": F.lit(None).cast("double"), "confidence": F.lit(None).cast("double")}
-    out = routed.where(F.col("msg").isNotNull()).withColumns(none).select(*result)
-    served = F.lit(False)
+    base = ["request_id", *keys, "task", "resolution", "model", "target_ts", "mode_used"]
+    result = [*base, "prediction", "proba_up", "confidence", "msg"]
+    # read for the spans and for the matches
+    stores = settle(stack_stores(history, live, scorers, keys, ts))
+    spans = (
+        stores.where("mode_used = 'historical'")
+        .groupBy("task", "resolution", *keys)
+        .agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+    )
+    asked = settle(route_mode(requests, spans, keys).select(*base, "msg"))
+    valid = F.col("msg").isNull()
+    modelled = F.lit(False)
+    for task, res in scorers:
+        modelled = modelled | ((F.col("task") == task) & (F.col("resolution") == res))
+    modelled = F.coalesce(modelled, F.lit(False))
+
+    near = asof_join(
+        asked.where(valid & modelled).select(*base),
+        stores,
+        ["task", "resolution", "mode_used", *keys],
+        "target_ts",
+        ts,
+        ["_x"],
+        prefix="_hit",
+        split=split,
+        **kw,
+    ).withColumnRenamed("_hit_x", "_x")
+    # one table for all models
+    near = settle(near)
+
+    def unanswered(rows: DataFrame, msg: Column) -> DataFrame:
+        none = {"prediction": F.lit(None).cast("int"), "proba_up": F.lit(None).cast("double"), "confidence": F.lit(None).cast("double")}
+        return rows.withColumns({**none, "msg": msg}).select(*result)
+
+    out = unanswered(asked.where(~valid | ~modelled), F.coalesce("msg", F.lit("no_model")))
+    out = out.unionByName(unanswered(near.where(F.col("delta_s").isNull()), F.lit("no_features")))
     for (task, res), (scorer, columns) in scorers.items():
-        here = (F.col("task") == task) & (F.col("resolution") == res) & F.col("msg").isNull()
-        served = served | here
-        for mode, stores in (("historical", history), ("live", live)):
-            if (task, res) not in stores:
-                continue
-            asked = routed.where(here & (F.col("mode_used") == mode))
-            rows = drop_leakage(stores[(task, res)])
-            take = [c for c in rows.columns if c != ts]
-            near = asof_join(asked, rows, [], "target_ts", ts, take, prefix="", split=split)
-            base = ["request_id", "task", "resolution", "model", "target_ts", "mode_used"]
-            hit = near.where(F.col("delta_s").isNotNull())
-            good = score_direction(hit, scorer, columns, base).withColumn("msg", F.lit("Success"))
-            miss = near.where(F.col("delta_s").isNull()).withColumns({**none, "msg": F.lit("No features available")})
-            out = out.unionByName(good.select(*result)).unionByName(miss.select(*result))
-        absent = [m for m, stores in (("historical", history), ("live", live)) if (task, res) not in stores]
-        lost = routed.where(here & F.col("mode_used").isin(*absent)) if absent else None
-        if lost is not None:
-            out = out.unionByName(lost.withColumns({**none, "msg": F.lit("No features available")}).select(*result))
-    unserved = routed.where(F.col("msg").isNull() & ~served).withColumns({**none, "msg": F.lit("No model available")})
-    return out.unionByName(unserved.select(*result))
-
-
-def fused_requests(df: DataFrame) -> DataFrame:
+        hit = near.where((F.col("task") == task) & (F.col("resolution") == res) & F.col("delta_s").isNotNull())
+        rows = hit.select(*base, *[F.col("_x")[i].alias(c) for i, c in enumerate(columns)])
+        good = score_direction(rows, scorer, columns, base)
+        out = out.unionByName(good.withColumn("msg", F.lit("ok")).select(*result))
+    return out
+
+
+def fused_requests(df: DataFrame, keys: Mapping[str, tuple[Column, Column]] | None = None) -> DataFrame:
     """One sentiment and one price request per row with request_id, resolution, target_sent, target_price, mode.
 
-    Sentiment has no 24h models and falls back to 4h.
+    Sentiment has no 24h models and falls back to 4h. ``keys`` gives each key column of the stores its value for the
+    sentiment and for the price request.
     """
+    keys = keys or {}
     sides = F.array(
         F.struct(
             F.lit("sentiment").alias("task"),
             F.when(F.col("resolution").isin("1h", "4h"), F.col("resolution")).otherwise("4h").alias("resolution"),
             F.col("target_sent").alias("target_ts"),
+            *[sent.alias(k) for k, (sent, _) in keys.items()],
+        ),
+        F.struct(
+            F.lit("price").alias("task"),
+            F.col("resolution"),
+            F.col("target_price").alias("target_ts"),
+            *[price.alias(k) for k, (_, price) in keys.items()],
         ),
-        F.struct(F.lit("price").alias("task"), F.col("resolution"), F.col("target_price").alias("target_ts")),
     )
     return df.select("request_id", "mode", F.explode(sides).alias("_s")).select(
         "request_id",
@@ -268,11 +317,11 @@ def fused_requests(df: DataFrame) -> DataFrame:
 
 
 def fused_predict(answers: DataFrame) -> DataFrame:
-    """Sentiment and price answers of a request side by side; Success when either predicts."""
+    """Sentiment and price answers of a request side by side; ok when either predicts."""
     def side(task: str, c: str) -> Column:
         return F.max(F.when(F.col("task") == task, F.col(c))).alias(f"{task}_{c}")
 
     cols = ("prediction", "proba_up", "confidence", "mode_used", "msg")
     wide = answers.groupBy("request_id").agg(*[side(t, c) for t in DEFAULT_MODEL for c in cols])
     either = F.col("sentiment_prediction").isNotNull() | F.col("price_prediction").isNotNull()
-    return wide.withColumn("msg", F.when(either, "Success").otherwise("No predictions"))
+    return wide.withColumn("msg", F.when(either, "ok").otherwise("no_prediction"))

@@ -33,6 +33,11 @@ def missing_requests(
     return plan.join(have, [*by, "day", axis], "left_anti")
 
 
+def lookback_hours(resolution: str, reach: int = 0) -> int:
+    """Hours of the live look-back; ``reach`` is how many rows the features computed next look back."""
+    return max(LOOKBACK_HOURS[resolution], (reach + 1) * seconds_of(resolution) // 3600)
+
+
 def candle_window(
     df: DataFrame,
     ts: str,
@@ -41,24 +46,48 @@ def candle_window(
     start: str | None = None,
     end: str | None = None,
     reach: int = 0,
+    bars: str | None = None,
 ) -> DataFrame:
     """Rows of the look-back before ``now``, or of [start, end]. The bounds are literals, so they reach the scan.
 
     ``reach`` is how many rows the features computed next look back; the window is widened to hold one more.
+    With ``bars`` the rows are raw points: kept are the points of all bars of that length that open in the window.
     """
-    step = seconds_of(resolution)
-    hours = max(LOOKBACK_HOURS[resolution], (reach + 1) * step // 3600)
     kind = dict(df.dtypes)[ts]
     if now is not None:
         z = F.lit(now).cast(kind)
-        a = z - F.expr(f"INTERVAL '{hours}' HOUR")
+        a = z - F.expr(f"INTERVAL '{lookback_hours(resolution, reach)}' HOUR")
     elif start is None or end is None:
         raise ValueError("give now, or both start and end")
     elif end <= start:
         raise ValueError("end must be later than start")
     else:
         a, z = F.lit(start).cast(kind), F.lit(end).cast(kind)
-    return df.where((F.col(ts) >= a) & (F.col(ts) <= z))
+    if bars is None:
+        return df.where((F.col(ts) >= a) & (F.col(ts) <= z))
+    edges = df.sparkSession.range(1).select(
+        next_bar(a - F.expr("INTERVAL '1' MICROSECOND"), bars).cast("string").alias("a"),
+        next_bar(z, bars).cast("string").alias("z"),
+    ).first()
+    return df.where((F.col(ts) >= F.lit(edges["a"]).cast(kind)) & (F.col(ts) < F.lit(edges["z"]).cast(kind)))
+
+
+def next_bar(c: Column, bars: str) -> Column:
+    """Opening time of the bar after the one that holds ``c``."""
+    return F.window(c, bars).end
+
+
+def newest(df: DataFrame, ts: str) -> str | None:
+    """Latest time of a frame as text; one row comes back, from column statistics where the source keeps them."""
+    return df.agg(F.max(ts).cast("string").alias("t")).first()["t"]
+
+
+def live_days(df: DataFrame, ts: str, now: str, hours: int = 24) -> DataFrame:
+    """What a live request finds landed at ``now``: whole days from the one that holds now minus ``hours``."""
+    kind = dict(df.dtypes)[ts]
+    z = F.lit(now).cast(kind)
+    first = F.date_trunc("day", z - F.expr(f"INTERVAL '{hours}' HOUR")).cast(kind)
+    return df.where((F.col(ts) >= first) & (F.col(ts) <= z))
 
 
 def tag_axis(df: DataFrame, text: str, rules: tuple[AxisRule, ...] = AXIS_RULES, out: str = "axis") -> DataFrame:

@@ -13,6 +13,7 @@ from driftline.operators.ordered import Series
 from driftline.plans import score, signals
 from driftline.plans.price import PROFILES, features_at, price_features
 from driftline.plans.sentiment import sentiment_features
+from driftline.sources import windows
 
 T0 = dt.datetime(2026, 1, 1)
 
@@ -281,3 +282,85 @@ def test_model_names(spark, tmp_path):
         (tmp_path / name).write_text("")
     got = {tuple(r) for r in score.model_inventory(score.list_models(spark, str(tmp_path))).collect()}
     assert got == {("sentiment", "xgb_clf", "1h"), ("price", "rf_price", "24h")}
+
+
+def by_sum(rows):
+    """Probability 0.5 + 0.1 a - 0.1 b, so that answers name the row they come from."""
+    return rows.withColumn("proba_up", 0.5 + 0.1 * F.col("a").cast("double") - 0.1 * F.col("b").cast("double"))
+
+
+def test_batch_predict_keeps_series_tasks_and_modes_apart(spark):
+    stamp = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    rows = lambda *r: spark.createDataFrame([(s, stamp(h), a, 9.0) for s, h, a in r], "series_id string, timestamp timestamp, a double, target_up double")
+    history = {
+        ("price", "1h"): rows(("x", 0, 1.0), ("x", 4, 2.0), ("y", 0, 3.0), (None, 1, None)),
+        ("price", "4h"): rows(("x", 0, -1.0)),
+        ("sentiment", "1h"): rows(("x", 0, -2.0)),
+    }
+    live = {("price", "1h"): rows(("x", 90, 4.0), ("y", 90, -3.0))}
+    models = {("price", "1h"): (by_sum, ["a", "b"]), ("price", "4h"): (by_sum, ["a", "b"]), ("volume", "1h"): (by_sum, ["a", "b"])}
+    ask = [
+        (1, "x", "price", "1h", 2, "auto"),  # as near to 0 as to 4: the later one
+        (2, "x", "price", "1h", 1, "historical"),
+        (3, "y", "price", "1h", 3, "auto"),  # beyond the history of y, not of x
+        (4, "y", "price", "1h", 3, "historical"),
+        (5, None, "price", "1h", 2, "auto"),  # a null series has a history too; its null feature is 0
+        (6, "x", "price", "4h", 50, "auto"),  # live without a live store
+        (7, "z", "price", "1h", 0, "auto"),
+        (8, "x", "sentiment", "1h", 0, "auto"),  # stored, but no model
+        (9, "x", "volume", "1h", 0, "auto"),  # a model, but nothing stored
+        (10, "x", "price", "2h", 0, "auto"),
+        (11, "x", "price", "1h", 0, "soon"),
+        (12, "x", "price", "1h", None, "auto"),
+        (13, "x", None, "1h", 0, "auto"),
+    ]
+    asked = spark.createDataFrame(
+        [(i, s, t, r, "m", m, None if h is None else stamp(h)) for i, s, t, r, h, m in ask],
+        "request_id int, series_id string, task string, resolution string, model string, mode string, target_ts timestamp",
+    )
+    got = score.batch_predict(asked, history, live, models, keys=["series_id"])
+    found = {r["request_id"]: (r["mode_used"], r["msg"], None if r["proba_up"] is None else round(r["proba_up"], 6), r["prediction"]) for r in got.collect()}
+    assert found == {
+        1: ("historical", "ok", 0.7, 1),
+        2: ("historical", "ok", 0.6, 1),
+        3: ("live", "ok", 0.2, 0),
+        4: ("historical", "ok", 0.8, 1),
+        5: ("historical", "ok", 0.5, 1),
+        6: ("live", "no_features", None, None),
+        7: ("live", "no_features", None, None),
+        8: ("historical", "no_model", None, None),
+        9: ("live", "no_features", None, None),
+        10: (None, "bad_resolution", None, None),
+        11: (None, "bad_mode", None, None),
+        12: (None, "bad_target", None, None),
+        13: ("live", "no_model", None, None),
+    }
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_batch_predict_cuts_a_hot_series(spark):
+    """One series holds nearly all rows; chunks of 50 rows give what one chunk gives."""
+    stamp = F.timestamp_seconds(F.col("id") * 60)
+    store = spark.range(2000).select(F.lit("hot").alias("series_id"), stamp.alias("timestamp"), F.col("id").cast("double").alias("a"), F.lit(0.0).alias("b"))
+    asked = spark.range(700).select(
+        F.col("id").alias("request_id"), F.lit("hot").alias("series_id"), F.lit("price").alias("task"), F.lit("1h").alias("resolution"),
+        F.lit("m").alias("model"), F.lit("historical").alias("mode"), F.timestamp_seconds(F.col("id") * 171 + 10).alias("target_ts"),
+    )
+    model = lambda rows: rows.withColumn("proba_up", F.col("a").cast("double"))
+    got = score.batch_predict(asked, {("price", "1h"): store}, {}, {("price", "1h"): (model, ["a"])}, keys=["series_id"], rows_per_chunk=50)
+    want = {i: float(min(1999, round((i * 171 + 10) / 60))) for i in range(700) if ((i * 171 + 10) % 60) != 30}
+    found = {r["request_id"]: r["proba_up"] for r in got.collect()}
+    assert len(found) == 700 and all(found[i] == v for i, v in want.items())
+
+
+def test_live_windows(spark):
+    stamp = lambda h: dt.datetime(2024, 1, 10) + dt.timedelta(hours=h)
+    df = spark.createDataFrame([(h, stamp(h)) for h in range(-80, 10)] + [(99, None)], "h int, ts timestamp")
+    now = str(stamp(5.5))
+    assert {r["h"] for r in windows.live_days(df, "ts", now).collect()} == set(range(-24, 6))
+    # bars of 4 hours that open in the 24 hours before now: from -16 on (-20 opens before -18.5), the open one whole
+    kept = {r["h"] for r in windows.candle_window(df, "ts", "1h", now=now, bars="4 hours").collect()}
+    assert kept == set(range(-16, 8))
+    assert windows.newest(df, "ts") == "2024-01-10 09:00:00"
+    assert windows.newest(df.where("h > 100"), "ts") is None
