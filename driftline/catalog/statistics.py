@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driftline.catalog.base import BARS, DAILY_SQL, Shape, daily, prices, query
+from driftline.functions.temporal import safe_lag
 from driftline.operators import autoregression, boxcox, buckets, correlogram, decomposition, unit_root
 from driftline.operators.backtest import forecast_metrics, time_split
 from driftline.operators.ordered import Series
-from driftline.session import settle
+from driftline.session import join_same, settle
 from driftline.catalog.backtests import SCOPED, SCOPES_SQL, scoped
 
 RET_SQL = f"""{DAILY_SQL}, ret0 AS (SELECT series_id, ts, ln(price) - lag(ln(price)) OVER (PARTITION BY series_id ORDER BY ts) AS x FROM daily),
@@ -58,25 +59,45 @@ def return_pacf(spark, d):
     return correlogram.pacf(rho, ["series_id"])
 
 
+# plain orders look at the lags that are safe for daily rows, seasonal ones at multiples of 7 up to max(2 * 7, 60)
+ORDERS_SQL = """marks AS (SELECT *, n >= 30 AND lag <= greatest(10, least(30, n - 2)) AS plain, n >= 60 AND lag % 7 = 0 AND lag <= least(60, n - 2) AS wide FROM {0}),
+    {0}_orders AS (SELECT series_id, coalesce(min(lag) FILTER (plain AND abs({0}) > 1.96 / sqrt(n)), 0) AS first,
+      CAST(coalesce(bool_or(abs({0}) > 1.96 / sqrt(n)) FILTER (wide), false) AS INT) AS season FROM marks GROUP BY 1)"""
+# partial autocorrelations by the same recursion on lists
+PACF_SQL = """pacf AS (WITH RECURSIVE r AS (SELECT series_id, any_value(n) AS n, list(acf ORDER BY lag) AS r FROM acf GROUP BY 1),
+    grown AS (SELECT series_id, n, r, 1 AS lag, [r[1]] AS phi, 1 - r[1] * r[1] AS err, r[1] AS pacf FROM r UNION ALL
+      SELECT series_id, n, r, lag + 1, list_concat(list_transform(phi, lambda f, i: f - g * phi[lag + 1 - i]), [g]), err * (1 - g * g), g
+      FROM (SELECT *, (r[lag + 1] - list_sum(list_transform(phi, lambda f, i: f * r[lag + 1 - i]))) / err AS g FROM grown WHERE lag < len(r)))
+    SELECT series_id, n, lag, pacf FROM grown)"""
+
+
+def orders(spark, d):
+    rho = settle(correlogram.acf(daily_returns(spark, d), BARS, "x", range(1, 61)))
+    part = settle(correlogram.pacf(rho, ["series_id"]))
+    short = F.col("lag") <= safe_lag("1-day", 7, F.col("n"))
+    far = F.col("lag") <= F.col("n") - 2
+    plain = correlogram.suggested_orders(rho.where(short), part.where(short), ["series_id"])
+    return join_same(plain, correlogram.seasonal_orders(rho.where(far), part.where(far), ["series_id"], 7), ["series_id"])
+
+
 @query(
     Shape("series_id", "q sq"),
-    f"""WITH {RET_SQL}, {acf_sql('ret', range(1, 31))} FINAL SELECT series_id, coalesce(min(lag) FILTER (n >= 30 AND abs(acf) > 1.96 / sqrt(n)), 0) AS q,
-    CAST(coalesce(bool_or(abs(acf) > 1.96 / sqrt(n)) FILTER (lag % 7 = 0 AND n >= 60), false) AS INT) AS sq FROM acf GROUP BY 1""",
+    f"""WITH {RET_SQL}, {acf_sql('ret', range(1, 61))}, {ORDERS_SQL.format('acf')}
+    FINAL SELECT series_id, first AS q, season AS sq FROM acf_orders""",
 )
 def suggested_ma_orders(spark, d):
-    rho = correlogram.acf(daily_returns(spark, d), BARS, "x", range(1, 31))
-    part = correlogram.pacf(rho, ["series_id"])
-    plain = correlogram.suggested_orders(rho, part, ["series_id"])
-    return plain.join(correlogram.seasonal_orders(rho, part, ["series_id"], 7), "series_id")
+    return orders(spark, d)
 
 
-@query()
+@query(
+    Shape("series_id", "p q sp sq"),
+    f"""WITH {RET_SQL}, {acf_sql('ret', range(1, 61))}, {PACF_SQL}, {ORDERS_SQL.format('acf')},
+    {ORDERS_SQL.format('pacf').replace('marks', 'part_marks')}
+    FINAL SELECT series_id, a.first AS q, a.season AS sq, b.first AS p, b.season AS sp FROM acf_orders a JOIN pacf_orders b USING (series_id)""",
+)
 def suggested_orders(spark, d):
     """All four orders, the ones from the partial autocorrelation included."""
-    rho = correlogram.acf(daily_returns(spark, d), BARS, "x", range(1, 31))
-    part = correlogram.pacf(rho, ["series_id"])
-    plain = correlogram.suggested_orders(rho, part, ["series_id"])
-    return plain.join(correlogram.seasonal_orders(rho, part, ["series_id"], 7), "series_id")
+    return orders(spark, d)
 
 
 @query(
@@ -163,7 +184,23 @@ def ljung_box_statistics(spark, d):
     return correlogram.ljung_box(daily_returns(spark, d), BARS, "x", [2, 7, 14, 30])
 
 
-@query()
+def tail_sql(x: str, k: str) -> str:
+    """Upper tail of the chi-square distribution: one minus the power series of the incomplete gamma function."""
+    term = f"exp(({k} / 2.0::DOUBLE + j) * ln({x} / 2) - {x} / 2 - lgamma({k} / 2.0::DOUBLE + j + 1))"
+    return f"CASE WHEN {x} <= 0 THEN 1 ELSE greatest(0, 1 - list_sum([{term} for j in range(0, CAST({x} AS BIGINT) + 100)])) END"
+
+
+def ljung_sql(acf: str, cuts: list[int], out: str) -> str:
+    """Statistic and p-value per series and number of lags."""
+    return f"""{out} AS (WITH cuts AS (SELECT unnest({cuts}) AS cut), s AS (SELECT series_id, cut AS lag, any_value(n) AS n,
+      any_value(n) * (any_value(n) + 2) * sum(acf * acf / (n - lag)) AS q_stat FROM {acf} JOIN cuts ON lag <= cut AND cut < n - 2 GROUP BY 1, 2)
+      SELECT *, {tail_sql('q_stat', 'lag')} AS p_value FROM s)"""
+
+
+@query(
+    Shape("series_id", "lag n", ((5, "q_stat p_value"),)),
+    f"WITH {RET_SQL}, {acf_sql('ret', range(1, 31))}, {ljung_sql('acf', [2, 7, 14, 30], 'lb')} FINAL SELECT * FROM lb",
+)
 def ljung_box_p_values(spark, d):
     return correlogram.ljung_box(daily_returns(spark, d), BARS, "x", [2, 7, 14, 30])
 
@@ -182,9 +219,21 @@ def residual_checks(spark, d):
     return decomposition.residual_diagnostics(dec, BARS, "resid", 7, "1-day")
 
 
-@query()
+@query(
+    Shape("series_id", "n max_acf_lag no_trend no_period centred white_noise volatility_effect", ((9, "slope"), (6, "mean max_acf lb_min_p lb_abs_min_p"))),
+    f"""WITH {RET_SQL}, {decompose_sql('ret', 7)}, res AS (SELECT series_id, ts, resid AS x, abs(resid) AS y FROM dec WHERE resid IS NOT NULL),
+    {acf_sql('res', range(1, 31))}, {acf_sql('res', range(1, 31), value='y').replace('acf AS', 'acf_y AS', 1)},
+    {ljung_sql('acf', [2, 7, 14, 30], 'lb')}, {ljung_sql('acf_y', [2, 7, 14, 30], 'lb_y')},
+    white AS (SELECT series_id, min(p_value) AS lb_min_p FROM lb GROUP BY 1), calm AS (SELECT series_id, min(p_value) AS lb_abs_min_p FROM lb_y GROUP BY 1),
+    peak AS (SELECT series_id, max(abs(acf)) AS max_acf, arg_max(lag, abs(acf)) AS max_acf_lag FROM acf WHERE lag <= 14 GROUP BY 1),
+    num AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts) AS i FROM res),
+    b AS (SELECT series_id, count(*) AS n, regr_slope(x, i) AS slope, avg(x) AS mean, stddev_pop(x) AS sp, stddev_samp(x) AS ss FROM num GROUP BY 1)
+    FINAL SELECT *, CAST(abs(slope) < greatest(sp * 0.01, 1e-6) AS INT) AS no_trend, CAST(max_acf < 0.3 AS INT) AS no_period,
+    CAST(abs(mean) < greatest(ss * 0.05, 1e-6) AS INT) AS centred, CAST(lb_min_p > 0.05 AS INT) AS white_noise,
+    CAST(lb_abs_min_p <= 0.05 AS INT) AS volatility_effect FROM b JOIN peak USING (series_id) JOIN white USING (series_id) JOIN calm USING (series_id)""",
+)
 def residual_verdicts(spark, d):
-    """With the whiteness and volatility verdicts, whose p-values have no SQL form."""
+    """With the whiteness and volatility verdicts."""
     dec = decomposition.seasonal_decompose(daily_returns(spark, d), BARS, "x", 7)
     return decomposition.residual_diagnostics(dec, BARS, "resid", 7, "1-day")
 

@@ -7,12 +7,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from driftline.functions.temporal import PERIOD_CANDIDATES, safe_lag
-from driftline.operators.ordered import CHUNK, HALO, Series, framed_chunks, over_series
+from driftline.operators.ordered import CHUNK, HALO, Series, framed_chunks
 from driftline.operators.rolling import difference
 from driftline.session import join_same, pin, settle
 
@@ -21,79 +21,81 @@ Z95 = 1.96
 PERIOD_ACF = 0.02
 PERIOD_LAG_CAP = 2000
 MIN_ORDER_ROWS = 30
-# up to this many lags stay in the JVM
-FEW_LAGS = 8
+# rows a transform takes at least
+FFT_ROWS = 1 << 16
 
 
-def centred(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFrame:
-    """``col`` minus the series mean. The frame is read twice, so it is settled first."""
-    df = settle(df)
-    means = pin(df.groupBy(*keys).agg(F.avg(col).alias("_mean")))
-    return join_same(df, means, list(keys)).withColumn(out, F.col(col) - F.col("_mean")).drop("_mean")
-
-
-def _sums_in_rows(x: DataFrame, series: Series, lags: list[int], split: bool | None) -> DataFrame:
-    keys = list(series.keys)
-    lagged = over_series(x, series, lambda w: {f"_l{k}": F.lag("_x", k).over(w) for k in lags}, back=max(lags), split=split)
-    pairs = F.array(
-        F.struct(F.lit(0).alias("lag"), F.col("_x").alias("y")),
-        *[F.struct(F.lit(k).alias("lag"), F.col(f"_l{k}").alias("y")) for k in lags],
-    )
-    return (
-        lagged.select(*keys, "_x", F.explode(pairs).alias("_p"))
-        .where(F.col("_p.y").isNotNull())
-        .groupBy(*keys, F.col("_p.lag").alias("lag"))
-        .agg(
-            F.count("*").alias("_c"),
-            F.sum(F.col("_x") * F.col("_p.y")).alias("_xy"),
-            F.sum(F.col("_x") + F.col("_p.y")).alias("_s"),
-        )
-    )
+def lag_products(v: np.ndarray, first: int, lags: np.ndarray, block: int = FFT_ROWS) -> np.ndarray:
+    """Sum of v[t] * v[t - k] over t >= first, per lag k; rows before the start of ``v`` count as zero.
 
-
-def _sums_in_chunks(x: DataFrame, series: Series, lags: list[int], split: bool | None) -> DataFrame:
+    Overlap-save: every block of rows is correlated with itself and the largest lag in front of it through one
+    transform, so memory is set by the block and the largest lag, and time hardly grows with the number of lags.
+    """
+    reach = int(lags.max())
+    block = max(block, reach)
+    out = np.zeros(len(lags))
+    for start in range(first, len(v), block):
+        now = v[start : start + block]
+        past = v[max(0, start - reach) : start + len(now)]
+        lead = len(past) - len(now)
+        size = 1 << (len(past) + len(now)).bit_length()
+        # at shift s: sum of now[i] * past[i + s], and lag k is the shift lead - k
+        cross = np.fft.irfft(np.fft.rfft(past, size) * np.conj(np.fft.rfft(now, size)), size)
+        out += cross[(lead - lags) % size]
+    return out
+
+
+def _sums_in_chunks(known: DataFrame, means: DataFrame, series: Series, lags: list[int], split: bool | None, **kw) -> DataFrame:
     keys, order = list(series.keys), list(dict.fromkeys((series.ts, *series.tie)))
-    framed = framed_chunks(x, series, max(lags), split).select(*keys, CHUNK, HALO, *order, "_x")
-    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in framed.select(*keys).schema.fields)
+    framed = framed_chunks(known, series, max(lags), split, **kw)
+    x = join_same(framed, means, keys).select(*keys, CHUNK, HALO, *order, (F.col("_v") - F.col("_mean")).alias("_x"))
+    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in x.select(*keys).schema.fields)
+    steps = np.array([0, *lags])
 
     def reduce(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")
         v = pdf["_x"].to_numpy(dtype=float)
         own = np.flatnonzero(~pdf[HALO].to_numpy(dtype=bool))
         first, last = int(own[0]), int(own[-1]) + 1  # own rows are contiguous
-        found = []
-        for k in [0, *lags]:
-            start = max(first, k)  # the rows in front are all there are, or reach far enough
-            if start < last:
-                now, then = v[start:last], v[start - k : last - k]
-                found.append((*group[: len(keys)], k, last - start, float(now @ then), float(now.sum() + then.sum())))
-        return pd.DataFrame(found, columns=[*keys, "lag", "_c", "_xy", "_s"])
-
-    parts = framed.groupBy(*keys, CHUNK).applyInPandas(
-        reduce, f"{key_schema}, lag int, _c long, _xy double, _s double"
-    )
+        v = v[:last]
+        through = np.concatenate([[0.0], np.cumsum(v)])
+        start = np.maximum(first, steps)  # the rows in front are all there are, or reach far enough
+        met = start < last
+        k, start = steps[met], start[met]
+        sums = through[last] - through[start] + through[last - k] - through[start - k]
+        found = {"lag": k, "_c": last - start, "_xy": lag_products(v, first, k), "_s": sums}
+        return pd.DataFrame({**{c: [g] * len(k) for c, g in zip(keys, group)}, **found})
+
+    parts = x.groupBy(*keys, CHUNK).applyInPandas(reduce, f"{key_schema}, lag int, _c long, _xy double, _s double")
     return parts.groupBy(*keys, "lag").agg(*[F.sum(c).alias(c) for c in ("_c", "_xy", "_s")])
 
 
-def acf(df: DataFrame, series: Series, col: str, lags: Sequence[int], split: bool | None = None) -> DataFrame:
+def acf(df: DataFrame, series: Series, col: str, lags: Sequence[int], split: bool | None = None, **kw) -> DataFrame:
     """Biased autocorrelation per (series, lag) for lags >= 1, with the series length ``n``.
 
-    Values are centred first, so products keep their digits. Products are summed inside each (series, chunk), row by
-    row for a few lags and as vector products for many; only the sums meet afterwards.
+    Values are centred first, so products keep their digits. Products of all lags come from one transform per block
+    of rows of each (series, chunk); only the sums meet afterwards. A null key is a series of its own.
     """
     keys = list(series.keys)
     lags = sorted({int(k) for k in lags if k >= 1})
-    known = df.where(F.col(col).isNotNull()).select(*keys, *dict.fromkeys((series.ts, *series.tie)), F.col(col).alias("_v"))
-    x = centred(known, keys, "_v", "_x")
-    if len(lags) <= FEW_LAGS:
-        sums = _sums_in_rows(x, series, lags, split)
-    else:
-        sums = _sums_in_chunks(x, series, lags, split)
-    base = sums.where("lag = 0").select(*keys, F.col("_c").alias("n"), F.col("_xy").alias("_xx"), (F.col("_s") / 2).alias("_x0"))
-    mean = F.col("_x0") / F.col("n")
+    known = df.where(F.col(col).isNotNull()).select(
+        *keys, *dict.fromkeys((series.ts, *series.tie)), F.col(col).cast("double").alias("_v")
+    )
+    # read for the means and for the chunks
+    known = settle(known)
+    means = pin(known.groupBy(*keys).agg(F.avg("_v").alias("_mean")))
+    sums = _sums_in_chunks(known, means, series, lags, split, **kw)
+    # one row per lag and series, so the row of lag 0 is handed over in place
+    zero = F.max(F.when(F.col("lag") == 0, F.struct("_c", "_xy", "_s"))).over(Window.partitionBy(*keys))
+    n, total = F.col("_z._c"), F.col("_z._s") / 2
+    mean = total / n
     top = F.col("_xy") - mean * F.col("_s") + F.col("_c") * mean * mean
-    bottom = F.col("_xx") - F.col("n") * mean * mean
-    return join_same(sums.where("lag > 0"), base, keys).select(*keys, "lag", F.try_divide(top, bottom).alias("acf"), "n")
+    bottom = F.col("_z._xy") - n * mean * mean
+    return (
+        sums.withColumn("_z", zero)
+        .where("lag > 0")
+        .select(*keys, "lag", F.try_divide(top, bottom).alias("acf"), n.alias("n"))
+    )
 
 
 @F.pandas_udf(ArrayType(DoubleType()))

@@ -38,7 +38,6 @@ def np_acf(x, k):
 
 @pytest.mark.parametrize("split", [False, True])
 def test_acf(df, split):
-    # a few lags row by row, many as vector products
     for lags in ([1, 2, 25], list(range(1, 41))):
         rows = correlogram.acf(df, S, "v", lags, split).collect()
         assert len(rows) == len(lags) * len(series())
@@ -46,6 +45,25 @@ def test_acf(df, split):
             assert r["n"] == N and r["acf"] == pytest.approx(np_acf(series()[r["s"]], r["lag"]), abs=1e-9)
 
 
+def test_acf_of_many_lags_over_chunks_and_a_null_key(spark):
+    """300 lags over chunks far shorter than the lags; a null key is a series, a short series has few lags."""
+    rng = np.random.default_rng(5)
+    got = {"a": rng.normal(size=900).cumsum() + 1e6, None: rng.normal(size=700), "short": rng.normal(size=20)}
+    parts = [pd.DataFrame({"s": k, "ts": pd.Timestamp("2024-01-01") + pd.to_timedelta(range(len(v)), unit="h"), "v": v}) for k, v in got.items()]
+    df = spark.createDataFrame(pd.concat(parts), "s string, ts timestamp_ntz, v double")
+    rows = correlogram.acf(df, Series(("s",), "ts"), "v", range(1, 301), rows_per_chunk=100).collect()
+    assert sorted((r["s"] or "", r["lag"]) for r in rows) == sorted((k or "", i) for k, v in got.items() for i in range(1, min(301, len(v))))
+    for r in rows:
+        assert r["acf"] == pytest.approx(np_acf(got[r["s"]], r["lag"]), abs=1e-9)
+
+
+@pytest.mark.parametrize("first, reach, block", [(0, 30, 64), (200, 150, 50), (10, 49, 7)])
+def test_lag_products_by_blocks(first, reach, block):
+    v, lags = np.random.default_rng(1).normal(size=300), np.arange(reach + 1)
+    want = [sum(v[t] * v[t - k] for t in range(max(first, k), 300)) for k in lags]
+    assert np.allclose(correlogram.lag_products(v, first, lags, block), want, atol=1e-10)
+
+
 def test_pacf_matches_yule_walker(df):
     rho = correlogram.acf(df, S, "v", range(1, 9))
     got = {(r["s"], r["lag"]): r["pacf"] for r in correlogram.pacf(rho, ["s"]).collect()}
