@@ -3,7 +3,12 @@
 Templates and windows are sets of shingles of five words (of fewer words only for templates that have no more).
 Windows of a template's length class overlap so that an occurrence lies whole in one of them; ``collision_probability``
 gives the chance that such a window shares a band with its template, above 0.999 for the settings here. A retrieved
-pair is kept if the window holds at least 0.8 of the template's shingles, compared word by word.
+pair is kept if the window holds at least 0.8 of the template's shingles, compared word by word, and agrees in the
+words that tell versions and variants apart: all of the template's numbers and variant words lie in matching shingles,
+and no other variant word stands between the first and the last of them.
+
+A window may hold several notices: matching shingles are cut where their order in the template starts over, so each
+occurrence is a match of its own. A notice whose parts were put in another order counts as one match of the window.
 
 Templates are a parameter, held by every task; their number does not depend on the corpus. Documents are scanned where
 they lie, so the scan has no shuffle and a hot source no effect.
@@ -49,8 +54,62 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("All-rights-reserved", "All rights reserved."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1"),
+    ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation"),
+    ("LGPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("AGPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
 )
 
+# short notices of families that differ in variant and version only
+GNU = (("GPL", "General", ("1", "2", "3")), ("LGPL", "Lesser General", ("2.1", "3")), ("LGPL", "Library General", ("2",)), ("AGPL", "Affero General", ("3",)))
+CREATIVE = ("", "ShareAlike", "NonCommercial", "NoDerivatives", "NonCommercial-ShareAlike", "NonCommercial-NoDerivatives")
+CREATIVE_VERSIONS = (("1.0", "Generic"), ("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International"))
+SHORT = {"ShareAlike": "SA", "NonCommercial": "NC", "NoDerivatives": "ND"}
+
+
+def family_templates() -> tuple[tuple[str, str], ...]:
+    """Short notices of the GNU and Creative Commons families, in all their variants and versions."""
+    out = []
+    for name, variant, versions in GNU:
+        for version in versions:
+            code = f"{name}-{version if '.' in version else version + '.0'}"
+            out += [(code, f"{start} licensed under the GNU {variant} Public License, version {version}") for start in ("This work is", "This program is")]
+            out.append((code, f"under the terms of the GNU {variant} Public License, version {version}"))
+            out.append((code, f"under the terms of the GNU {variant} Public License as published by the Free Software Foundation; either version {version} of the License"))
+            out.append((code, f"under the terms of version {version} of the GNU {variant} Public License"))
+    for variant in CREATIVE:
+        parts = ["BY", *(SHORT[v] for v in variant.split("-") if v)]
+        for version, region in CREATIVE_VERSIONS:
+            code = f"CC-{'-'.join(parts)}-{version}"
+            full = "-".join(["Attribution", *variant.split("-")] if variant else ["Attribution"])
+            out.append((code, f"licensed under a Creative Commons {full} {version} {region} License"))
+            out.append((code, f"licensed under CC {'-'.join(parts)} {version}"))
+    known = {text_key(text) for _, text in TEMPLATES}
+    return tuple(t for t in out if text_key(t[1]) not in known)
+
+
+def text_key(text: str) -> tuple[str, ...]:
+    return tuple(words_of(text))
+
+
+# words that tell variants of one licence apart; numbers do as well, where the template has them
+VARIANTS = frozenset("affero lesser library sharealike noncommercial noderivatives noderivs sa nc nd".split())
+
+
+def telling(words: Sequence[str]) -> frozenset[str]:
+    """What a match must hold: numbers, a leading v aside, and variant words."""
+    return frozenset(w for w in words if w in VARIANTS or re.fullmatch(r"v?\d+", w))
+
 
 def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
@@ -89,7 +148,8 @@ class Template:
     number: int
     name: str
     gram: int
-    shingles: frozenset[tuple[str, ...]]
+    shingles: dict[tuple[str, ...], list[int]]  # places in the template
+    telling: frozenset[str]
 
 
 class Index:
@@ -104,13 +164,15 @@ class Index:
             if not words:
                 continue
             k = min(SHINGLE, len(words))
-            own = frozenset(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+            own: dict[tuple[str, ...], list[int]] = {}
+            for i in range(len(words) - k + 1):
+                own.setdefault(tuple(words[i : i + k]), []).append(i)
             h = np.unique(grams(known.of(words), k))
             hashes.setdefault(k, []).append(h)
             keys = band_keys(mix(h[None, :] ^ seeds[:, None]).min(axis=1, keepdims=True))[:, 0]
             group = self.groups.setdefault((k, length_class(len(words) - k + 1)), {})
             for key in keys.tolist():
-                group.setdefault(key, []).append(Template(number, name, k, own))
+                group.setdefault(key, []).append(Template(number, name, k, own, telling(words)))
         self.hashes = {k: np.unique(np.concatenate(v)) for k, v in hashes.items()}
         self.bands = {g: np.array(sorted(keys), np.uint64) for g, keys in self.groups.items()}
         self.seeds = seeds
@@ -157,18 +219,44 @@ def scan_text(words: list[str], hashes: np.ndarray, index: Index, containment: f
 
 
 def _verify(t: Template, words: list[str], first: int, upto: int, containment: float, found: dict) -> None:
-    """Exact containment of the template's shingles among those that start in [first, upto)."""
+    """Exact containment of the template's shingles among those that start in [first, upto), by occurrence."""
     places = [i for i in range(first, upto) if tuple(words[i : i + t.gram]) in t.shingles]
-    share = len({tuple(words[i : i + t.gram]) for i in places}) / len(t.shingles)
-    if share >= containment:
-        key = (t.number, places[0], places[-1] + t.gram)
-        if found.get(key, (0.0,))[0] < share:
-            found[key] = (share, t)
-
-
-def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
-    """(doc_id, license, template, start_word, n_words, containment) of all matches."""
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(templates))
+    if len({tuple(words[i : i + t.gram]) for i in places}) < containment * len(t.shingles):
+        return
+    good = [m for m in (_judged(t, words, run) for run in occurrences(t, words, places)) if m[0] >= containment]
+    for share, a, z in good or [_judged(t, words, places)]:
+        if share >= containment and found.get((t.number, a, z), (0.0,))[0] < share:
+            found[t.number, a, z] = (share, t)
+
+
+def occurrences(t: Template, words: list[str], places: list[int]) -> list[list[int]]:
+    """Places cut where their order in the template starts over."""
+    runs, last = [], -1
+    for i in places:
+        ahead = [o for o in t.shingles[tuple(words[i : i + t.gram])] if o > last]
+        if not ahead or not runs:
+            runs.append([])
+            ahead = ahead or t.shingles[tuple(words[i : i + t.gram])]
+        runs[-1].append(i)
+        last = ahead[0]
+    return runs
+
+
+def _judged(t: Template, words: list[str], places: list[int]) -> tuple[float, int, int]:
+    """(containment, first word, end) of the shingles at ``places``; 0 if a telling word is missing or too many."""
+    met = {tuple(words[i : i + t.gram]) for i in places}
+    a, z = places[0], places[-1] + t.gram
+    other = any(w in VARIANTS and w not in t.telling for w in words[a:z])
+    lacking = t.telling - {w for shingle in met for w in shingle}
+    return (0.0 if other or lacking else len(met) / len(t.shingles)), a, z
+
+
+def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] | None = None, containment: float = CONTAINMENT) -> DataFrame:
+    """(doc_id, license, template, start_word, n_words, containment) of all matches.
+
+    Without ``templates`` these are ``TEMPLATES`` followed by ``family_templates()``; ``template`` numbers them from 0.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(TEMPLATES + family_templates() if templates is None else templates))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, known = Index(shared.value), WordHashes()
