@@ -9,7 +9,7 @@ unless a payload holds the magic; then the pieces of that record alone are gathe
 Defined cases: a null payload is written as an empty one; of records with equal payloads of ``min_revisit`` bytes or
 more, all rows with the smallest id are responses and the others revisits; a row without an id is always a response;
 line ends inside a url are percent-encoded; a null url gives no target line. A file that does not start with a record,
-or breaks off, yields the records up to there. Columns other than the three named ones are not read.
+or breaks off, yields the records that end before that; a record is whole if its stated length lies within the file. Columns other than the three named ones are not read.
 """
 
 from __future__ import annotations
@@ -156,10 +156,12 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     seen = settled(seen, "warc-pieces")
     per_block = seen.groupBy("f", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("bytes"))
     base = F.coalesce(F.sum("bytes").over(Window.partitionBy("f").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = seen.join(per_block.withColumn("base", base).drop("bytes"), ["f", "block"])
+    # the last piece of a file has no magic behind it
+    stops = F.sum("bytes").over(Window.partitionBy("f")) - len(MAGIC)
+    placed = seen.join(per_block.withColumns({"base": base, "stops": stops}).drop("bytes"), ["f", "block"])
     placed = settled(placed.withColumn("start", F.col("base") + F.col("rel") - len(MAGIC)).drop("base"), "warc-placed")
 
-    nodes = placed.where("start >= 0 AND length IS NOT NULL").select(F.col("f").alias("file"), "start", (F.col("start") + F.col("length")).alias("next"))
+    nodes = placed.where("start >= 0 AND start + length <= stops").select(F.col("f").alias("file"), "start", (F.col("start") + F.col("length")).alias("next"))
     chain = reached(nodes).withColumnRenamed("file", "f").withColumn("hit", F.lit(True))
     marked = settled(placed.join(chain, ["f", "start"], "left").withColumn("hit", F.col("hit").isNotNull()), "warc-marked")
     # pieces that are not one whole record: what no chain reaches, and records cut by a magic in their payload
