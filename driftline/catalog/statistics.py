@@ -268,8 +268,8 @@ def stationarity_by_resampling(spark, d):
     g AS (SELECT unnest(generate_series(-3000, 3000, 1)) / 1000.0::DOUBLE AS l),
     f AS (SELECT series_id, l, any_value(n) AS n, -any_value(n) / 2 * ln(var_pop(CASE WHEN abs(l) < 1e-9 THEN ln(y) ELSE (pow(y, l) - 1) / l END)) AS ll FROM s, g GROUP BY 1, 2),
     m AS (SELECT series_id, any_value(n) AS n, arg_max(l, ll) AS lam FROM f GROUP BY 1)
-    FINAL SELECT series_id, n, lam, CASE WHEN abs(lam - 1) < 0.2 THEN 'Probably not needed' WHEN abs(lam) < 0.2 THEN 'Log/Box-Cox likely helpful'
-    ELSE 'May help (variance stabilization)' END AS recommendation, 'OK' AS note FROM m""",
+    FINAL SELECT series_id, n, lam, CASE WHEN abs(lam - 1) < 0.2 THEN 'keep' WHEN abs(lam) < 0.2 THEN 'log'
+    ELSE 'power' END AS recommendation, 'ok' AS note FROM m""",
 )
 def boxcox_exponents(spark, d):
     return boxcox.boxcox_lambda(daily(spark, d), ["series_id"], "price")

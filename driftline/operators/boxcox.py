@@ -25,7 +25,7 @@ def boxcox_by_series(df: DataFrame, keys: Sequence[str], col: str, out: str) ->
 
 
 def boxcox_lambda(df: DataFrame, keys: Sequence[str], col: str, rounds: int = 4) -> DataFrame:
-    """``lam`` to about 1e-3 with advice; series with a value <= 0 get null and "Not applicable".
+    """``lam`` to about 1e-3 with advice; series with a value <= 0 get null and "not_applicable".
 
     Values are divided by their geometric mean, which leaves the exponent unchanged and the likelihood a plain
     function of one variance. Every round is one aggregate over all series.
@@ -63,15 +63,15 @@ def boxcox_lambda(df: DataFrame, keys: Sequence[str], col: str, rounds: int = 4)
         step /= 8
     lam = F.col("_best")
     advice = (
-        F.when(lam.isNull(), "Not applicable")
-        .when(F.abs(lam - 1) < 0.2, "Probably not needed")
-        .when(F.abs(lam) < 0.2, "Log/Box-Cox likely helpful")
-        .otherwise("May help (variance stabilization)")
+        F.when(lam.isNull(), "not_applicable")
+        .when(F.abs(lam - 1) < 0.2, "keep")
+        .when(F.abs(lam) < 0.2, "log")
+        .otherwise("power")
     )
     return join_same(base, at, keys, "left").select(
         *keys,
         "n",
         F.round(lam, 3).alias("lam"),
         advice.alias("recommendation"),
-        F.when(lam.isNull(), "Non-positive values").otherwise("OK").alias("note"),
+        F.when(lam.isNull(), "non_positive").otherwise("ok").alias("note"),
     )

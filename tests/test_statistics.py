@@ -152,7 +152,7 @@ def test_residual_verdicts(df):
 
 def test_box_cox(df):
     got = {r["s"]: r for r in boxcox.boxcox_lambda(df, ["s"], "v").collect()}
-    assert got["ar"]["lam"] is None and got["ar"]["note"] == "Non-positive values"
+    assert got["ar"]["lam"] is None and got["ar"]["note"] == "non_positive"
     x = series()["skewed"]
 
     def loglik(lam):
