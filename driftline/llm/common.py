@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +16,10 @@ from driftline.session import prepare, scratch_path, table
 BATCH_ROWS = 1000
 BROADCAST_ROWS = 200_000
 SHINGLE = 5
+SLICE_BYTES = 1 << 20  # bytes of text whose words are found at once
+LONG = 64  # bytes of a word hashed eight at a time for all words together
 _MULT = np.uint64(0x9E3779B97F4A7C15)
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -91,3 +97,43 @@ def sliding_min(a: np.ndarray, w: int) -> np.ndarray:
         size *= 2
     rest = w - size
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows of a task in slices of bounded size, with the bytes of their texts (null: none) end to end and the bounds of each."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        text = b.column(place).cast(pa.large_binary()).fill_null(b"")
+        bounds = np.frombuffer(text.buffers()[1], np.int64, len(text) + 1, 8 * text.offset)
+        data = np.frombuffer(text.buffers()[2] or b"", np.uint8)
+        lo = 0
+        while lo < len(text):
+            hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + SLICE_BYTES, "right")) - 1)
+            yield b.slice(lo, hi - lo), data[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo]
+            lo = hi
+
+
+def runs_of(flags: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the stretches of set flags; none goes on over a bound."""
+    head, tail = flags.copy(), flags.copy()
+    head[1:] &= ~flags[:-1]
+    tail[:-1] &= ~flags[1:]
+    edge = bounds[(bounds > 0) & (bounds < len(flags))]
+    head[edge], tail[edge - 1] = flags[edge], flags[edge - 1]
+    return np.flatnonzero(head), np.flatnonzero(tail) + 1
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of bytes; those of up to eight bytes never share one with another of their length."""
+    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    size = ends - starts
+    out = mix((size.astype(np.uint64) * _MULT) ^ (eight[starts] & _LOW[np.minimum(size, 8)]))
+    for at in range(8, LONG, 8):
+        more = np.flatnonzero(size > at)
+        if not len(more):
+            return out
+        out[more] = mix(out[more] ^ (eight[starts[more] + at] & _LOW[np.minimum(size[more] - at, 8)]))
+    for i in np.flatnonzero(size > LONG):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]])
+    return out

@@ -25,62 +25,90 @@ than a window stay whole; other columns stay as they are.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import WordHashes, fresh, grams, mix, settled, sliding_min
+from driftline.llm.common import fresh, mix, runs_of, settled, sliding_min, span_hashes, text_slices
 
 WINDOW = 13
 GRAM = 5
 BLOCK_WORDS = 1_000_000
 MIN_BITS, MAX_BITS = 20, 29
 CHUNK_BITS = 20
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_M1, _M2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+WORD_BYTES = np.array([b != 0x20 and not 0x09 <= b <= 0x0D for b in range(256)])
+_M1, _M2, _M3 = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0x9E3779B97F4A7C15
 
 
-def anchors_of(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """k-gram hashes of a text, and for each of its windows the smallest one inside."""
-    g = grams(hashes, GRAM)
-    return g, sliding_min(g, window - GRAM + 1)
+class Block(NamedTuple):
+    """Documents one after another: hashes of all words, and the place of each document's first one (and the end)."""
+
+    docs: np.ndarray
+    keys: np.ndarray
+    words: np.ndarray
+    first: np.ndarray
+
+
+def spread(terms: list[np.ndarray], factor: int, seed: int) -> np.ndarray:
+    """One hash of several columns of hashes."""
+    acc = np.full(len(terms[0]), seed, np.uint64)
+    for j, t in enumerate(terms):
+        acc += t * np.uint64(pow(factor, j + 1, 1 << 64))
+    return mix(acc)
+
+
+def anchors_of(block: Block, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """k-gram hashes of a block, the smallest one in each window, the row each window begins in, and whether it ends there."""
+    n = len(block.words)
+    g = spread([block.words[j : n - GRAM + 1 + j] for j in range(GRAM)], _M3, GRAM) if n >= GRAM else block.words[:0]
+    anchors = sliding_min(g, window - GRAM + 1)
+    row = np.repeat(np.arange(len(block.docs)), np.diff(block.first))[: len(anchors)]
+    return g, anchors, row, np.arange(window, window + len(anchors)) <= block.first[1:][row]
 
 
 def window_hashes(g: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Two hashes of the windows that start at ``at``, from overlapping k-grams that cover them."""
-    steps = [*range(0, window - GRAM, GRAM - 1), window - GRAM]
-    one, two = np.zeros(len(at), np.uint64), np.full(len(at), window, np.uint64)
-    for s in steps:
-        one, two = mix(one * _M1 + g[at + s]), mix((two ^ g[at + s]) * _M2)
-    return one, two
+    terms = [g[at + s] for s in (*range(0, window - GRAM, GRAM - 1), window - GRAM)]
+    return spread(terms, _M1, 0), spread(terms, _M2, window)
 
 
-def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, np.ndarray]]]:
-    """Documents of a task, in blocks of bounded size: doc_id, text_key, hashes of the words."""
-    known, block, held = WordHashes(), [], 0
-    for b in batches:
-        for doc, key, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-            h = known.of(WORD.findall(text))
-            block.append((doc, key, h))
-            held += len(h)
-            if held >= BLOCK_WORDS:
-                yield block
-                block, held = [], 0
-    if block:
-        yield block
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """Documents of a task, in blocks of bounded size."""
+    held: list[Block] = []
+
+    def block() -> Block:
+        docs, keys, words, counts = (np.concatenate(c) for c in zip(*held))
+        return Block(docs, keys, words, np.concatenate([[0], np.cumsum(counts)]))
+
+    for rows, data, bounds in text_slices(batches, 2):
+        starts, ends = runs_of(WORD_BYTES[data], bounds)
+        docs, keys = (rows.column(i).to_numpy().astype(np.int64) for i in range(2))
+        held.append(Block(docs, keys, span_hashes(data, starts, ends), np.diff(np.searchsorted(starts, bounds))))
+        if sum(len(x.words) for x in held) >= BLOCK_WORDS:
+            yield block()
+            held.clear()
+    if held:
+        yield block()
 
 
 def _emit_anchors(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches):
-            per_doc = [np.unique(anchors_of(h, window)[1]) for _, _, h in block]
-            found, times = np.unique(np.concatenate(per_doc), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times > 1)], ["anchor", "many"])
+            _, found, row, whole = anchors_of(block, window)
+            # neighbouring windows mostly have the same anchor
+            whole[1:] &= (found[1:] != found[:-1]) | (row[1:] != row[:-1])
+            found, row = found[whole], row[whole]
+            order = np.argsort(found, kind="stable")
+            found, row = found[order], row[order]
+            head = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else np.empty(0, np.int64)
+            many = row[head] != row[np.append(head[1:], len(found)) - 1] if len(found) else np.empty(0, bool)
+            yield pa.RecordBatch.from_arrays([pa.array(found[head].view(np.int64)), pa.array(many)], ["anchor", "many"])
 
     return run
 
@@ -117,26 +145,27 @@ def _emit_windows(window: int, shared):
         bits = np.frombuffer(shared.value, np.uint8)
         mask = np.uint64(len(bits) * 8 - 1)
         for block in blocks_of(batches):
-            cols: list[list[np.ndarray]] = [[], [], [], []]
-            for row, (_, _, h) in enumerate(block):
-                g, anchors = anchors_of(h, window)
-                slot = (anchors & mask).astype(np.int64)
-                at = np.flatnonzero(bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1)
-                for c, v in zip(cols, (*window_hashes(g, at, window), np.full(len(at), row), at)):
-                    c.append(v)
-            one, two, row, at = (np.concatenate(c) for c in cols)
-            docs = np.array([d for d, _, _ in block], np.int64)[row]
-            order = np.lexsort((docs, two, one))
-            one, two, row, at, docs = one[order], two[order], row[order], at[order], docs[order]
-            first = np.ones(len(one), bool)
-            first[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-            least = docs[np.maximum.accumulate(np.where(first, np.arange(len(one)), 0))] if len(one) else docs
-            keys = np.array([k for _, k, _ in block], np.int64)[row]
+            g, anchors, row, whole = anchors_of(block, window)
+            slot = (anchors & mask).astype(np.int64)
+            at = np.flatnonzero(whole & (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool))
+            if not len(at):
+                continue
+            one, two = window_hashes(g, at, window)
+            row = row[at]
+            docs, keys, places = block.docs[row], block.keys[row], at - block.first[row]
+            order = np.argsort(one)
+            x, y = one[order], two[order]
+            if ((x[1:] == x[:-1]) & (y[1:] != y[:-1])).any():  # the first hash alone does not tell them apart
+                order = np.lexsort((two, one))
+                x, y = one[order], two[order]
+            head = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+            least = np.empty_like(docs)
+            least[order] = np.repeat(np.minimum.reduceat(docs[order], head), np.diff(np.append(head, len(order))))
             done = docs > least
             # what is decided needs no company: it is spread by its own place, not by its hash
-            one = np.where(done, mix(keys.view(np.uint64) * _M1 + at.astype(np.uint64)), one)
+            one = np.where(done, mix(keys.view(np.uint64) * np.uint64(_M1) + places.astype(np.uint64)), one)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(docs), pa.array(keys), pa.array(at.astype(np.int32)), pa.array(done)],
+                [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(docs), pa.array(keys), pa.array(places.astype(np.int32)), pa.array(done)],
                 ["h1", "h2", "doc_id", "text_key", "pos", "done"],
             )
 
@@ -173,30 +202,49 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return found.groupBy("doc_id", "text_key").agg(F.collect_list("pos").alias("places"))
 
 
+def _strings(data: np.ndarray, flags: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The flagged bytes of each text."""
+    ends = np.concatenate([[0], np.cumsum(np.add.reduceat(np.append(flags, False), bounds[:-1], dtype=np.int64) * (np.diff(bounds) > 0))])
+    return pa.Array.from_buffers(pa.string(), len(bounds) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[flags])])
+
+
 def _cut(window: int, made: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[tuple] = []
-            for text, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                words = [m.span() for m in WORD.finditer(text or "")]
-                if not places:
-                    out.append((len(words), 0, [], " ".join(text[a:z] for a, z in words), text))
-                    continue
-                edge = np.zeros(len(words) + 1, np.int32)
-                at = np.unique(np.array(places, np.int64))
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + window, -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                turns = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-                spans = [{"start": int(a), "length": int(z - a)} for a, z in zip(turns[::2], turns[1::2])]
-                stay = [i for i in np.flatnonzero(~gone)]
+        for b, data, bounds in text_slices(batches, 0):
+            inside = WORD_BYTES[data]
+            starts, ends = runs_of(inside, bounds)
+            first = np.searchsorted(starts, bounds)
+            n_words = np.diff(first)
+            places = b.column(1)
+            at = places.flatten().to_numpy().astype(np.int64) + np.repeat(first[:-1], pc.list_value_length(places).fill_null(0).to_numpy())
+            edge = np.bincount(at, minlength=len(starts) + 1) - np.bincount(at + window, minlength=len(starts) + 1)
+            gone = np.cumsum(edge[:-1]) > 0
+            lo, hi = runs_of(gone, first)
+            of = np.searchsorted(lo, first)
+            spans = pa.StructArray.from_arrays([lo - np.repeat(first[:-1], np.diff(of)), hi - lo], ["start", "length"])
+            rest = b.column(0).cast(pa.string())
+            if len(lo):
                 # a removed word takes the white space behind it along
-                ends = [words[i + 1][0] if i + 1 < len(words) else len(text) for i in stay]
-                rest = text[: words[0][0]] + "".join(text[words[i][0] : e] for i, e in zip(stay, ends))
-                out.append((len(words), int(gone.sum()), spans, " ".join(text[slice(*words[i])] for i in stay), rest))
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])), pa.string(), pa.string()]
-            cols = list(zip(*out)) or [()] * 5
-            arrays = [pa.array(c, k) for c, k in zip(cols, kinds)]
+                behind = np.append(starts, len(data))[hi]
+                behind = np.minimum(behind, np.repeat(bounds[1:], np.diff(of)))
+                left = np.ones(len(data), bool)
+                for a, z, e in zip(starts[lo], ends[hi - 1], behind):
+                    left[a:e] = False
+                    inside[a:z] = False
+                rest = pc.if_else(rest.is_valid(), _strings(data, left, bounds), pa.scalar(None, pa.string()))
+            # one space behind each kept word that has another one behind it in its text
+            stay = np.flatnonzero(~gone)
+            text = np.repeat(np.arange(len(n_words)), n_words)[stay]
+            gaps = ends[stay[:-1][text[1:] == text[:-1]]]
+            data = data.copy()
+            data[gaps], inside[gaps] = 0x20, True
+            arrays = [
+                pa.array(n_words, pa.int64()),
+                pa.array(np.diff(np.concatenate([[0], np.cumsum(gone)])[first]), pa.int64()),
+                pa.ListArray.from_arrays(pa.array(of.astype(np.int32)), spans),
+                _strings(data, inside, bounds),
+                rest,
+            ]
             yield pa.RecordBatch.from_arrays([*b.columns[2:], *arrays], [*b.schema.names[2:], *made])
 
     return run
