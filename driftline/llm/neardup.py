@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.common import SHINGLE, WordHashes, fresh, mix, settled, small_side
+from driftline.llm.common import SHINGLE, SLICE_BYTES, WordHashes, fresh, mix, runs_of, settled, small_side, word_hashes
 from driftline.llm.substrings import bit_filter
 
 SIMILARITY = 0.8
@@ -48,29 +48,54 @@ BLOCK = 1 << 20  # shingles counted at once
 ROUNDS = 1  # heads tried per band before whole bands are compared
 TILE_ROWS = 256  # texts and items of a block, on average at most
 TILE_ITEMS = 1 << 20
-WORD = re.compile(r"\w+")
 # what no letter, digit or underscore is: bytes that part words, and characters that the bytes alone do not tell
 _PARTS = bytes(b if chr(b).isalnum() or b == 0x5F or b > 0x7F else 0x20 for b in range(256))
 _ODD = re.compile(r"[^\x00-\x7f\w]")
+_INSIDE = np.array([b != 0x20 for b in _PARTS])
 _STEPS = [np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64)) for j in range(SHINGLE)]
 
 
+def plain(text: str) -> bytes:
+    """A text in lower case, in which only the bytes of ``_PARTS`` part words."""
+    text = text.lower()
+    return (text if text.isascii() else _ODD.sub(" ", text)).encode("utf-8", "surrogatepass")
+
+
 def words_of(text: str) -> list[bytes]:
     """Runs of letters, digits and underscores, in lower case."""
-    text = text.lower()
-    if _ODD.search(text):
-        return [w.encode("utf-8", "surrogatepass") for w in WORD.findall(text)]
-    return text.encode("utf-8", "surrogatepass").translate(_PARTS).split()
+    return plain(text).translate(_PARTS).split()
 
 
-def shingles_of(text: str, known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of a text, ascending, and how often each occurs."""
-    h = known.of(words_of(text))
+def shingle_hashes(h: np.ndarray) -> np.ndarray:
+    """Hashes of all shingles, from the hashes of the words; fewer words than a shingle has are one."""
     k = min(SHINGLE, max(1, len(h)))
     acc = np.full(max(0, len(h) - k + 1), k, np.uint64)
     for j in range(k):
         acc += h[j : j + len(acc)] * _STEPS[j]
-    return np.unique(mix(acc), return_counts=True)
+    return mix(acc)
+
+
+def shingles_of(text: str, known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of a text, ascending, and how often each occurs."""
+    return np.unique(shingle_hashes(known.of(words_of(text))), return_counts=True)
+
+
+def shingle_sets(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``shingles_of`` each text, null as an empty one; the words of about ``SLICE_BYTES`` of text are hashed at once."""
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        held.append(plain(text or ""))
+        size += len(held[-1])
+        if size < SLICE_BYTES and i + 1 < len(texts):
+            continue
+        data, bounds = np.frombuffer(b"".join(held), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in held])])
+        starts, ends = runs_of(_INSIDE[data], bounds)
+        words, first = word_hashes(data, starts, ends), np.searchsorted(starts, bounds).tolist()
+        found = shingle_hashes(words)
+        for lo, hi in zip(first, first[1:]):
+            own = found[lo : hi - SHINGLE + 1] if hi - lo >= SHINGLE else shingle_hashes(words[lo:hi])
+            yield np.unique(own, return_counts=True)
+        held, size = [], 0
 
 
 def idf_of(counts: np.ndarray, documents: int) -> np.ndarray:
@@ -135,10 +160,9 @@ def node_of(text: Column) -> Column:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known, counts, documents = WordHashes(), np.zeros(SLOTS, np.int64), 0
+    counts, documents = np.zeros(SLOTS, np.int64), 0
     for b in batches:
-        for text in b.column(0).to_pylist():
-            s = shingles_of(text or "", known)[0]
+        for s, _ in shingle_sets(b.column(0).to_pylist()):
             np.add.at(counts, ((s >> np.uint64(40)) & np.uint64(SLOTS - 1)).astype(np.int64), 1)
             documents += 1
     part = TaskContext.get().partitionId()
@@ -177,11 +201,10 @@ def signatures(docs: DataFrame, shared) -> DataFrame:
     """(doc_id, node, bands) of every row; texts without words have no bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, freq, sampler = WordHashes(), _read(shared), Sampler()
+        freq, sampler = _read(shared), Sampler()
         for b in batches:
             bands = []
-            for text in b.column(2).to_pylist():
-                s, n = shingles_of(text or "", known)
+            for s, n in shingle_sets(b.column(2).to_pylist()):
                 bands.append(sampler.bands(s, n * freq.of(s)) if len(s) else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "node", "bands"])
 
@@ -198,13 +221,11 @@ def _occurrences(shared=None):
     """Shingles with the number of documents of a block they occur in; those without a bit in the filter are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         bits = None if shared is None else np.frombuffer(shared.value, np.uint8)
         held: list[np.ndarray] = []
         size = 0
         for b in batches:
-            for text in b.column(0).to_pylist():
-                s = shingles_of(text or "", known)[0]
+            for s, _ in shingle_sets(b.column(0).to_pylist()):
                 if bits is not None:
                     slot = (s & np.uint64(len(bits) * 8 - 1)).astype(np.int64)
                     s = s[(bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)]
@@ -235,10 +256,8 @@ def with_frequencies(texts: DataFrame, counts: DataFrame) -> DataFrame:
     """Add ``held`` to the texts: places of their shingles, in ascending order, and frequencies; those left out occur once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for b in batches:
-            for i, text in enumerate(b.column(1).to_pylist()):
-                s = shingles_of(text, known)[0]
+            for i, (s, _) in enumerate(shingle_sets(b.column(1).to_pylist())):
                 nodes = b.column(0).take(pa.array(np.full(len(s), i)))
                 yield pa.RecordBatch.from_arrays([nodes, pa.array(np.arange(len(s), dtype=np.int32)), pa.array(s.view(np.int64))], ["node", "place", "shingle"])
 

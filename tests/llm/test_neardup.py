@@ -1,10 +1,15 @@
 """Near duplicates on made-up families: a base, copies with few to many edits, and texts that only quote a passage."""
 
 import random
+import re
+import time
 
 import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
 
-from driftline.llm import neardup
+from driftline.llm import common, neardup
 from driftline.llm.common import WordHashes
 
 SCHEMA = "doc_id bigint, text string, node string, class_id string"
@@ -109,3 +114,49 @@ def test_similarities_take_true_frequencies(corpus):
     assert want != linked(slots)
     got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(frame).collect()}
     assert {k for k in range(120) if got[2 * k] == got[2 * k + 1]} == want
+
+
+@pytest.mark.parametrize("size", [1, 300, 1 << 20])
+def test_shingles_of_many_texts_are_those_of_each(monkeypatch, size):
+    monkeypatch.setattr(neardup, "SLICE_BYTES", size)
+    rng = random.Random(size)
+    letters = "abcXYZ_09 \t\n.,-!éßİKſ漢字。“”—\u0307\u200b٣१😀\x00\x85\xa0ǅ"
+    texts = [None, "", "a", "a b c d", "a b c d e", " ", "!!!", *("".join(rng.choice(letters) for _ in range(rng.randrange(200))) for _ in range(300)), "", None]
+    texts += [" ".join("x" * rng.randrange(1, 300) for _ in range(k)) for k in range(12)]
+    words = [[w.encode() for w in re.findall(r"\w+", (t or "").lower())] for t in texts]
+    assert [neardup.words_of(t or "") for t in texts] == words
+    known, got = WordHashes(), list(neardup.shingle_sets(texts))
+    assert len(got) == len(texts)
+    for t, (s, n) in zip(texts, got):
+        one, times = neardup.shingles_of(t or "", known)
+        assert s.tolist() == one.tolist() and n.tolist() == times.tolist()
+    assert list(neardup.shingle_sets([])) == []
+
+
+def test_hashes_of_stretches_are_those_of_the_library():
+    rng = np.random.default_rng(6)
+    data = rng.integers(0, 256, 3000, dtype=np.uint8)
+    starts = rng.integers(0, 2900, 2000)
+    ends = np.minimum(starts + rng.integers(1, 20, 2000), len(data))
+    starts, ends = np.append(starts, len(data) - np.arange(1, 10)), np.append(ends, np.full(9, len(data)))
+    want = [xxhash.xxh3_64_intdigest(data[a:z].tobytes()) for a, z in zip(starts, ends)]
+    assert common.word_hashes(data, starts, ends).tolist() == want
+
+
+def test_a_pass_over_all_texts_costs_little_more_than_a_scan():
+    """Three passes take the shingles of all texts; each used to look every word up on its own."""
+    rng = random.Random(4)
+    rows = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(500)) for _ in range(800)]
+    b = pa.RecordBatch.from_arrays([pa.array(rows)], ["text"])
+
+    def least(f):
+        took = []
+        for _ in range(3):
+            a = time.process_time()
+            f()
+            took.append(time.process_time() - a)
+        return min(took)
+
+    scan = least(lambda: [re.findall(r"\w+", t.lower()) for t in rows])
+    took = least(lambda: list(neardup._occurrences()(iter([b]))))
+    assert took < 2 * scan
