@@ -35,7 +35,8 @@ def missing_requests(
 
 def lookback_hours(resolution: str, reach: int = 0) -> int:
     """Hours of the live look-back; ``reach`` is how many rows the features computed next look back."""
-    return max(LOOKBACK_HOURS[resolution], (reach + 1) * seconds_of(resolution) // 3600)
+    step = seconds_of(resolution)  # refuses what is no resolution
+    return max(LOOKBACK_HOURS[resolution], (reach + 1) * step // 3600)
 
 
 def candle_window(
